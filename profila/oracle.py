@@ -163,3 +163,67 @@ from devices d left join ev_aggs a on d.device_id=a.device_id
 left join tri t on d.device_id=t.device_id
 left join max_app m on d.device_id=m.device_id
 left join top_cnt c on d.device_id=c.device_id""")
+
+
+TRIPLES = """tri as (
+  select device_id, app_id, tag_list, min("date") first_date from app_events
+  where device_id is not null group by device_id, app_id, tag_list)"""
+
+
+def app_event_sequence_sql() -> str:
+    return _with(APP_EVENTS) + """select device_id,
+  row_number() over (partition by device_id order by event_id, app_id) pos, app_id
+from app_events where device_id is not null"""
+
+
+def triples_sql() -> str:
+    return _with(APP_EVENTS, TRIPLES) + "select device_id, app_id, tag_list, first_date from tri"
+
+
+def triple_tfidf_sql(column: str) -> str:
+    return _with(APP_EVENTS, TRIPLES, f"""tok as (
+  select device_id, unnest(regexp_extract_all(lower(cast({column} as varchar)), '\\b\\w\\w+\\b')) term from tri)""",
+                 """tf as (select device_id, term, count(*) tf from tok group by device_id, term)""",
+                 """nd as (select count(distinct device_id) n from tri)""",
+                 """dfs as (select term, count(*) df from tf group by term)""",
+                 """w as (select tf.device_id, tf.term, tf.tf, tf.tf*(ln((1+nd.n)/(1+dfs.df))+1) w
+  from tf join dfs on tf.term=dfs.term cross join nd)""") + """select device_id, term, cast(tf as bigint) tf,
+  round(w / sqrt(sum(w*w) over (partition by device_id)), 6) tfidf from w"""
+
+
+def active_ngram_sql() -> str:
+    return _with(APP_EVENTS, DEVICES, """act as (
+  select device_id, cast(app_id as varchar) tok,
+    row_number() over (partition by device_id order by "date", event_id, app_id) pos
+  from app_events where is_active=1 and device_id is not null and length(cast(app_id as varchar))>=2)""",
+                 """g as (
+  select device_id, tok term from act
+  union all select a.device_id, a.tok||' '||b.tok from act a join act b on a.device_id=b.device_id and b.pos=a.pos+1
+  union all select a.device_id, a.tok||' '||b.tok||' '||c.tok from act a
+    join act b on a.device_id=b.device_id and b.pos=a.pos+1
+    join act c on a.device_id=c.device_id and c.pos=a.pos+2
+  union all select distinct d.device_id, 'nan' from devices d
+    where not exists (select 1 from app_events e where e.device_id=d.device_id and e.is_active=1))""") + \
+        "select device_id, term, cast(count(*) as bigint) tf from g group by device_id, term"
+
+
+SEQ = """seq as (
+  select device_id, cast(app_id as varchar) token,
+    row_number() over (partition by device_id order by first_date, app_id, tag_list) pos from tri)""" 
+
+RANKS = """ranks as (
+  select token, count(*) cnt, row_number() over (order by count(*) desc, token) "rank"
+  from seq group by token)"""
+
+
+def token_rank_sql() -> str:
+    return _with(APP_EVENTS, TRIPLES, SEQ, RANKS) + "select token, cast(cnt as bigint) cnt, cast(\"rank\" as bigint) \"rank\" from ranks"
+
+
+def padded_sequence_sql() -> str:
+    return _with(APP_EVENTS, TRIPLES, SEQ, RANKS, """coded as (
+  select s.device_id, s.pos, r."rank", count(*) over (partition by s.device_id) n
+  from seq s join ranks r on s.token=r.token)""") + """select device_id,
+  array_to_string(list_concat(list_transform(range(greatest(50-count(*),0)), lambda x: 0),
+    list(cast("rank" as bigint) order by pos)), ',') seq_text
+from coded where pos > n - 50 group by device_id"""

@@ -83,3 +83,74 @@ def q_target_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     devs = devices(spark, sf_dir)
     enc = kfold_target_encode(devs, gender_folds(devs), ENCODED, "gender")
     return _round_doubles(enc)
+
+
+# ---------------------------------------------------------------- lists, text
+from ..functions import word_tokens  # noqa: E402
+from ..operators import lists as L  # noqa: E402
+from ..operators import sequence as S  # noqa: E402
+from ..operators import text as TX  # noqa: E402
+
+
+def q_app_event_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event's app per device, positioned in event order."""
+    return L.event_app_sequence(app_events(spark, sf_dir))
+
+
+def q_app_tag_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 + A8: distinct (device, app, tag list) with first use day."""
+    return L.distinct_app_tags(app_events(spark, sf_dir))
+
+
+def _triple_tfidf(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    triples = L.distinct_app_tags(app_events(spark, sf_dir))
+    text = F.col(column).cast("string")
+    tf = TX.term_counts(triples, "device_id", text)
+    n_docs = triples.select("device_id").distinct().count()
+    return _round_doubles(TX.tfidf(tf, "device_id", n_docs))
+
+
+def q_app_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 + T2 + T3 over the distinct-triple app lists (one-digit ids vanish)."""
+    return _triple_tfidf(spark, sf_dir, "app_id")
+
+
+def q_tag_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 + T2 + T3 over the distinct-triple tag lists."""
+    return _triple_tfidf(spark, sf_dir, "tag_list")
+
+
+def active_terms(events: DataFrame, devs: DataFrame, n_max: int = 3) -> DataFrame:
+    """A9 + O1 + T1 + T4: 1..n-grams of each device's active-app tokens in
+    date order; a device with no active event has the single term 'nan'."""
+    act = (events.where((F.col("is_active") == 1) & F.col("device_id").isNotNull())
+           .select("device_id", "date", "event_id", "app_id",
+                   F.explode(word_tokens(F.col("app_id").cast("string"))).alias("tok")))
+    seq = S.group_positions(act, "device_id", ["date", "event_id", "app_id"])
+    grams = S.ngrams(seq, "device_id", "tok", n_max)
+    silent = (devs.select("device_id").distinct()
+              .join(events.where("is_active = 1").select("device_id"), "device_id", "left_anti")
+              .select("device_id", F.lit("nan").alias("term")))
+    return grams.unionByName(silent)
+
+
+def q_active_ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 + P5 + O1 + T4 + T2: n-gram counts of the date-ordered active list."""
+    terms = active_terms(app_events(spark, sf_dir), devices(spark, sf_dir))
+    return TX.term_counts_of_terms(terms, "device_id")
+
+
+def q_token_frequency_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 over the A10 sequences: app token → frequency rank."""
+    triples = L.distinct_app_tags(app_events(spark, sf_dir))
+    seq = L.first_use_sequence(triples).withColumn("token", F.col("app_id").cast("string"))
+    return TX.frequency_rank(seq, "token")
+
+
+def q_app_sequence_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + W2 + T10 + O4: last 50 app ranks per device, left-padded."""
+    triples = L.distinct_app_tags(app_events(spark, sf_dir))
+    seq = L.first_use_sequence(triples).withColumn("token", F.col("app_id").cast("string"))
+    ranks = TX.frequency_rank(seq, "token")
+    padded = TX.padded_sequence(seq, "device_id", "token", ranks, 50)
+    return padded.select("device_id", F.array_join(F.col("seq").cast("array<string>"), ",").alias("seq_text"))
