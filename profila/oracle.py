@@ -227,3 +227,101 @@ def padded_sequence_sql() -> str:
   array_to_string(list_concat(list_transform(range(greatest(50-count(*),0)), lambda x: 0),
     list(cast("rank" as bigint) order by pos)), ',') seq_text
 from coded where pos > n - 50 group by device_id"""
+
+
+def _tfidf_blocks(src: str, name: str, i0: int) -> list[str]:
+    """count + tf-idf blocks of term counts table ``tf_{name}`` (n = all devices)."""
+    return [
+        f"""idf_{name} as (select term, ln((1+(select count(*) from devices))/(1+count(*)))+1 idf
+  from tf_{name} group by term)""",
+        f"""w_{name} as (select t.device_id, t.term, t.tf*i.idf w from tf_{name} t join idf_{name} i on t.term=i.term)""",
+        f"""mat_{name} as (
+  select device_id, '{i0:02d}c{name}|'||term col, cast(tf as double) "value" from tf_{name}
+  union all select device_id, '{i0+1:02d}t{name}|'||term, w / sqrt(sum(w*w) over (partition by device_id)) from w_{name})""",
+    ]
+
+
+APP_TAG_MATRIX = [
+    """tf_app as (select device_id, term, count(*) tf from (
+  select device_id, unnest(regexp_extract_all(cast(app_id as varchar), '\\b\\w\\w+\\b')) term from tri) group by all)""",
+    """tf_tag as (select device_id, term, count(*) tf from (
+  select device_id, unnest(regexp_extract_all(lower(tag_list), '\\b\\w\\w+\\b')) term from tri) group by all)""",
+    *_tfidf_blocks("tri", "app", 0), *_tfidf_blocks("tri", "tag", 2),
+    """mat as (select * from mat_app union all select * from mat_tag)""",
+]
+
+ACTIVE_MATRIX = [
+    """act as (
+  select device_id, cast(app_id as varchar) tok,
+    row_number() over (partition by device_id order by "date", event_id, app_id) pos
+  from app_events where is_active=1 and device_id is not null and length(cast(app_id as varchar))>=2)""",
+    """tf_act as (select device_id, term, count(*) tf from (
+  select device_id, tok term from act
+  union all select a.device_id, a.tok||' '||b.tok from act a join act b on a.device_id=b.device_id and b.pos=a.pos+1
+  union all select a.device_id, a.tok||' '||b.tok||' '||c.tok from act a
+    join act b on a.device_id=b.device_id and b.pos=a.pos+1
+    join act c on a.device_id=c.device_id and c.pos=a.pos+2
+  union all select distinct d.device_id, 'nan' from devices d
+    where not exists (select 1 from app_events e where e.device_id=d.device_id and e.is_active=1)) group by all)""",
+    *_tfidf_blocks("act", "act", 0),
+    """mat as (select * from mat_act)""",
+]
+
+NB_ROWS = [
+    """nbrows as (select d.device_id, d.gender label, case when d.is_train=1 then f.fold end fold
+  from devices d left join folds f on d.device_id=f.device_id)""",
+    """ms as (select cast(range as int) m from range(5))""",
+    """vw as (select count(distinct col) V from mat)""",
+    """ncls as (select ms.m, r.label c, count(*) n_c from ms join nbrows r on r.fold is not null and r.fold<>ms.m group by all)""",
+    """nall as (select m, sum(n_c) n_m from ncls group by m)""",
+    """nkeys as (select r.device_id, ms.m from nbrows r join ms on r.fold is null or r.fold=ms.m)""",
+]
+
+
+NB_SOFTMAX = [
+    """jmx as (select device_id, m, c, jll - max(jll) over (partition by device_id, m) z from jll)""",
+    """pr as (select device_id, m, c, exp(z) / sum(exp(z)) over (partition by device_id, m) p from jmx)""",
+]
+
+
+def _nb_select(prefix: str) -> str:
+    return f"""select device_id,
+  round_even(avg(case when c=0 then p end), 6) {prefix}_clf_0,
+  round_even(avg(case when c=1 then p end), 6) {prefix}_clf_1
+from pr group by device_id"""
+
+
+def nb_stack_sql(kind: str, prefix: str, active: bool = False) -> str:
+    mats = ACTIVE_MATRIX if active else APP_TAG_MATRIX
+    head = [APP_EVENTS, DEVICES, FOLDS, TRIPLES, *mats, *NB_ROWS]
+    if kind == "multinomial":
+        body = [
+            """ncj as (select ms.m, r.label c, x.col, sum(x."value") n_cj from ms
+  join nbrows r on r.fold is not null and r.fold<>ms.m join mat x on x.device_id=r.device_id group by all)""",
+            """ncall as (select m, c, sum(n_cj) s from ncj group by all)""",
+            """jll as (select k.device_id, k.m, n.c,
+  ln(n.n_c/na.n_m) + coalesce(sum(x."value" * (ln(coalesce(j.n_cj,0)+1) - ln(coalesce(s.s,0)+vw.V))),0) jll
+  from nkeys k join ncls n on n.m=k.m join nall na on na.m=k.m cross join vw
+  left join ncall s on s.m=k.m and s.c=n.c
+  left join mat x on x.device_id=k.device_id and x."value"<>0
+  left join ncj j on j.m=k.m and j.c=n.c and j.col=x.col
+  group by k.device_id, k.m, n.c, n.n_c, na.n_m)""",
+        ]
+    else:
+        body = [
+            """dcj as (select ms.m, r.label c, x.col, count(*) d_cj from ms
+  join nbrows r on r.fold is not null and r.fold<>ms.m join mat x on x.device_id=r.device_id and x."value"<>0
+  group by all)""",
+            """bconst as (select n.m, n.c,
+  coalesce((select sum(ln(1-(d.d_cj+1)/(n.n_c+2))) from dcj d where d.m=n.m and d.c=n.c),0)
+  + ((select V from vw) - (select count(*) from dcj d where d.m=n.m and d.c=n.c)) * ln(1-1/(n.n_c+2)) k
+  from ncls n)""",
+            """jll as (select k.device_id, k.m, n.c,
+  ln(n.n_c/na.n_m) + b.k + coalesce(sum(case when x.col is not null then
+    ln((coalesce(j.d_cj,0)+1)/(n.n_c+2)) - ln(1-(coalesce(j.d_cj,0)+1)/(n.n_c+2)) end), 0) jll
+  from nkeys k join ncls n on n.m=k.m join nall na on na.m=k.m join bconst b on b.m=n.m and b.c=n.c
+  left join mat x on x.device_id=k.device_id and x."value"<>0
+  left join dcj j on j.m=k.m and j.c=n.c and j.col=x.col
+  group by k.device_id, k.m, n.c, n.n_c, na.n_m, b.k)""",
+        ]
+    return _with(*head, *body, *NB_SOFTMAX) + _nb_select(prefix)

@@ -154,3 +154,43 @@ def q_app_sequence_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = TX.frequency_rank(seq, "token")
     padded = TX.padded_sequence(seq, "device_id", "token", ranks, 50)
     return padded.select("device_id", F.array_join(F.col("seq").cast("array<string>"), ",").alias("seq_text"))
+
+
+# ---------------------------------------------------------------- stacks
+from ..operators.naive_bayes import oof_naive_bayes  # noqa: E402
+from .matrices import app_tag_matrix, active_matrix  # noqa: E402
+
+
+def stack_rows(devs: DataFrame, folds: DataFrame, label: str = "gender") -> DataFrame:
+    """(device_id, label, fold) for every device; fold NULL when unlabelled."""
+    return (devs.select("device_id", F.col(label).alias("label"), "is_train").distinct()
+            .join(folds, "device_id", "left")
+            .select("device_id", "label", F.when(F.col("is_train") == 1, F.col("fold")).alias("fold")))
+
+
+def _nb_stack(spark, sf_dir, kind, prefix, active=False):
+    devs = devices(spark, sf_dir)
+    ev = app_events(spark, sf_dir)
+    mat = active_matrix(ev, devs) if active else app_tag_matrix(ev, devs)
+    rows = stack_rows(devs, gender_folds(devs))
+    return oof_naive_bayes(mat.cells, rows, mat.n_cols, kind, prefix=prefix)
+
+
+def q_stack_mnb_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 + M2 + A14 + U3 + F7 + T5 over the app/tag matrix."""
+    return _nb_stack(spark, sf_dir, "multinomial", "tfidf_mnb")
+
+
+def q_stack_bnb_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 + T11 + M2 + A14 + U3 + F7 over the app/tag matrix."""
+    return _nb_stack(spark, sf_dir, "bernoulli", "tfidf_bnb")
+
+
+def q_stack_ac_mnb_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 over the active-app 1–3-gram matrix (A9 + T4)."""
+    return _nb_stack(spark, sf_dir, "multinomial", "ac_tfidf_mnb", active=True)
+
+
+def q_stack_ac_bnb_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 over the active-app 1–3-gram matrix."""
+    return _nb_stack(spark, sf_dir, "bernoulli", "ac_tfidf_bnb", active=True)
