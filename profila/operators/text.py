@@ -38,11 +38,11 @@ def document_frequency(tf: DataFrame, group: str) -> DataFrame:
 
 def tfidf(tf: DataFrame, group: str, n_docs=None) -> DataFrame:
     """``(group, term, tf, tfidf)`` with smooth idf + 1 and L2 norm.
-    ``n_docs`` (int or 1-row DataFrame column value) defaults to the
+    ``n_docs`` (int or Column, e.g. a scalar subquery) defaults to the
     number of documents present in ``tf``."""
     df_ = document_frequency(tf, group)
     if n_docs is None:
-        n_docs = tf.select(group).distinct().count()
+        n_docs = tf.select(group).distinct().agg(F.count(F.lit(1))).scalar()
     idf = df_.select("term", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
     raw = tf.join(idf, "term", "inner").withColumn("_w", F.col("tf") * F.col("idf"))
     norm = raw.groupBy(group).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))

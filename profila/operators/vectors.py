@@ -51,7 +51,7 @@ def _sparse(size, cells):
     return SparseVector(size, [c[0] for c in cells], [c[1] for c in cells])
 
 
-def to_vectors(matrix: DataFrame, vocab: DataFrame, size: int, base: DataFrame,
+def to_vectors(matrix: DataFrame, vocab: DataFrame, size, base: DataFrame,
                group: str = "device_id", out: str = "features") -> DataFrame:
     """One ``SparseVector`` per row of ``base`` (rows without cells get an
     all-zero vector)."""
@@ -60,4 +60,5 @@ def to_vectors(matrix: DataFrame, vocab: DataFrame, size: int, base: DataFrame,
              .agg(F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("i"),
                                                        F.col("value").alias("v")))).alias("_cells")))
     return (base.join(cells, group, "left")
-            .withColumn(out, _sparse(F.lit(size), F.col("_cells"))).drop("_cells"))
+            .withColumn(out, _sparse(size if isinstance(size, F.Column) else F.lit(size), F.col("_cells")))
+            .drop("_cells"))

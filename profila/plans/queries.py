@@ -106,7 +106,7 @@ def _triple_tfidf(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
     triples = L.distinct_app_tags(app_events(spark, sf_dir))
     text = F.col(column).cast("string")
     tf = TX.term_counts(triples, "device_id", text)
-    n_docs = triples.select("device_id").distinct().count()
+    n_docs = triples.select("device_id").distinct().agg(F.count(F.lit(1))).scalar()
     return _round_doubles(TX.tfidf(tf, "device_id", n_docs))
 
 
@@ -171,8 +171,8 @@ def stack_rows(devs: DataFrame, folds: DataFrame, label: str = "gender") -> Data
 def _nb_stack(spark, sf_dir, kind, prefix, active=False):
     devs = devices(spark, sf_dir)
     ev = app_events(spark, sf_dir)
-    mat = active_matrix(ev, devs) if active else app_tag_matrix(ev, devs)
-    rows = stack_rows(devs, gender_folds(devs))
+    mat = (active_matrix(ev, devs) if active else app_tag_matrix(ev, devs)).materialize()
+    rows = stack_rows(devs, gender_folds(devs)).checkpoint(eager=True)
     return oof_naive_bayes(mat.cells, rows, mat.n_cols, kind, prefix=prefix)
 
 
