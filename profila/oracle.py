@@ -267,9 +267,10 @@ ACTIVE_MATRIX = [
     """mat as (select * from mat_act)""",
 ]
 
+GENDER_NB_ROWS = """nbrows as (select d.device_id, d.gender label, case when d.is_train=1 then f.fold end fold
+  from devices d left join folds f on d.device_id=f.device_id)"""
+
 NB_ROWS = [
-    """nbrows as (select d.device_id, d.gender label, case when d.is_train=1 then f.fold end fold
-  from devices d left join folds f on d.device_id=f.device_id)""",
     """ms as (select cast(range as int) m from range(5))""",
     """vw as (select count(distinct col) V from mat)""",
     """ncls as (select ms.m, r.label c, count(*) n_c from ms join nbrows r on r.fold is not null and r.fold<>ms.m group by all)""",
@@ -284,8 +285,8 @@ NB_SOFTMAX = [
 ]
 
 
-def _nb_select(prefix: str) -> str:
-    return f"""select device_id,
+def _nb_select(prefix: str, key: str = "device_id") -> str:
+    return f"""select device_id {key},
   round_even(avg(case when c=0 then p end), 6) {prefix}_clf_0,
   round_even(avg(case when c=1 then p end), 6) {prefix}_clf_1
 from pr group by device_id"""
@@ -293,7 +294,13 @@ from pr group by device_id"""
 
 def nb_stack_sql(kind: str, prefix: str, active: bool = False) -> str:
     mats = ACTIVE_MATRIX if active else APP_TAG_MATRIX
-    head = [APP_EVENTS, DEVICES, FOLDS, TRIPLES, *mats, *NB_ROWS]
+    return nb_sql(kind, prefix, [APP_EVENTS, DEVICES, FOLDS, TRIPLES, *mats, GENDER_NB_ROWS])
+
+
+def nb_sql(kind: str, prefix: str, inputs: list[str], key: str = "device_id") -> str:
+    """Out-of-fold naive Bayes over CTEs that define ``mat(device_id, col,
+    value)`` and ``nbrows(device_id, label, fold)``, fold by fold."""
+    head = [*inputs, *NB_ROWS]
     if kind == "multinomial":
         body = [
             """ncj as (select ms.m, r.label c, x.col, sum(x."value") n_cj from ms
@@ -324,4 +331,56 @@ def nb_stack_sql(kind: str, prefix: str, active: bool = False) -> str:
   left join dcj j on j.m=k.m and j.c=n.c and j.col=x.col
   group by k.device_id, k.m, n.c, n.n_c, na.n_m, b.k)""",
         ]
-    return _with(*head, *body, *NB_SOFTMAX) + _nb_select(prefix)
+    return _with(*head, *body, *NB_SOFTMAX) + _nb_select(prefix, key)
+
+
+def _enc_train(label: str, folds: str) -> str:
+    return f"""t as (select d.device_id, d.{label} label, f.fold, e.phone_brand_{label}_kfold_mean p
+  from devices d join {folds} f on d.device_id=f.device_id join enc_phone_brand e on d.device_id=e.device_id
+  where d.is_train=1)"""
+
+
+def encoding_binary_error_sql() -> str:
+    return _with(DEVICES, FOLDS, _enc("phone_brand"), _enc_train("gender", "folds")) + """select fold,
+  round(avg(case when cast(p>=0.5 as int)<>label then 1.0 else 0.0 end), 6) binary_error from t group by fold"""
+
+
+def encoding_error_summary_sql() -> str:
+    return _with(DEVICES, FOLDS, _enc("phone_brand"), _enc_train("gender", "folds"), """per as (
+  select fold, avg(case when cast(p>=0.5 as int)<>label then 1.0 else 0.0 end) e from t group by fold)""") + \
+        """select round(avg(e),6) binary_error_mean, round(stddev_pop(e),6) binary_error_std from per"""
+
+
+def encoding_age_score_sql() -> str:
+    return _with(DEVICES, AGE_FOLDS, _enc("phone_brand", "age", "age_folds"), _enc_train("age", "age_folds")) + \
+        """select fold, round(avg(abs(label-p)),6) mae, round(1/(1+avg(abs(label-p))),7) age_score
+from t group by fold"""
+
+
+# Unicode word runs of 2+ characters: the vectoriser's token rule in RE2 terms.
+DOC_TOKENS = """dtok as (select doc_id device_id,
+  unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{Nd}\\p{Pc}]{2,}')) term from documents)"""
+DOC_TF = """tf_txt as (select device_id, term, count(*) tf from dtok group by device_id, term)"""
+DOC_N = """dn as (select count(*) n from documents)"""
+
+
+def document_tfidf_sql() -> str:
+    return _with(DOC_TOKENS, DOC_TF, DOC_N, """dfs as (select term, count(*) df from tf_txt group by term)""",
+                 """w as (select t.device_id, t.term, t.tf, t.tf*(ln((1+dn.n)/(1+dfs.df))+1) w
+  from tf_txt t join dfs on t.term=dfs.term cross join dn)""") + """select device_id doc_id, term,
+  cast(tf as bigint) tf, round(w / sqrt(sum(w*w) over (partition by device_id)), 6) tfidf from w"""
+
+
+def document_nb_sql() -> str:
+    idf = """idf_txt as (select term, ln((1+(select n from dn))/(1+count(*)))+1 idf from tf_txt group by term)"""
+    w = """w_txt as (select t.device_id, t.term, t.tf*i.idf w from tf_txt t join idf_txt i on t.term=i.term)"""
+    mat = """mat as (
+  select device_id, '00ctxt|'||term col, cast(tf as double) "value" from tf_txt
+  union all select device_id, '01ttxt|'||term, w / sqrt(sum(w*w) over (partition by device_id)) from w_txt)"""
+    dfolds = """dfolds as (
+  select d.doc_id device_id, cast((row_number() over (order by l.quality,
+    md5(concat(cast(d.doc_id as varchar), ':2021')))-1)%5 as int) fold
+  from documents d join labels l on d.doc_id=l.doc_id where l.quality is not null)"""
+    rows = """nbrows as (select d.doc_id device_id, l.quality label, f.fold
+  from documents d left join labels l on d.doc_id=l.doc_id left join dfolds f on d.doc_id=f.device_id)"""
+    return nb_sql("multinomial", "doc_mnb", [DOC_TOKENS, DOC_TF, DOC_N, idf, w, mat, dfolds, rows], key="doc_id")

@@ -15,6 +15,24 @@ from ..operators.folds import assign_folds
 from ..operators.joins import attach
 from ..sources import app_events, devices, retail_events
 from .features import ENCODED, device_feature_table, gender_folds
+from ..functions import word_tokens
+from ..operators import lists as L
+from ..operators import sequence as S
+from ..operators import text as TX
+from ..operators.naive_bayes import oof_naive_bayes
+from .matrices import app_tag_matrix, active_matrix
+from ..operators import learners as LN
+from ..operators import metrics as MT
+from ..operators.boost import gbt_oof
+from ..operators.cluster import kmeans_features
+from ..operators.embed import embedding_table, fit_word2vec, mlp
+from ..operators.stack import oof_stack
+from ..sources import document_tokens_source
+from ..sources.tables import read_table
+from . import gender as G
+from .age import AGE_OUTPUT, svd_features
+from .profile import NOT_FEATURES, NOT_AGE_FEATURES, _model_table, device_profile
+from ..functions import threshold
 
 DEVICE_COLS = ["device_id", "phone_brand", "device_model", "gender", "age", "is_train"]
 
@@ -86,10 +104,6 @@ def q_target_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- lists, text
-from ..functions import word_tokens  # noqa: E402
-from ..operators import lists as L  # noqa: E402
-from ..operators import sequence as S  # noqa: E402
-from ..operators import text as TX  # noqa: E402
 
 
 def q_app_event_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,15 +171,12 @@ def q_app_sequence_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- stacks
-from ..operators.naive_bayes import oof_naive_bayes  # noqa: E402
-from .matrices import app_tag_matrix, active_matrix  # noqa: E402
 
 
 def stack_rows(devs: DataFrame, folds: DataFrame, label: str = "gender") -> DataFrame:
-    """(device_id, label, fold) for every device; fold NULL when unlabelled."""
-    return (devs.select("device_id", F.col(label).alias("label"), "is_train").distinct()
-            .join(folds, "device_id", "left")
-            .select("device_id", "label", F.when(F.col("is_train") == 1, F.col("fold")).alias("fold")))
+    """(device_id, label, fold) with an integer class label, for the
+    relational naive Bayes."""
+    return G.stack_rows(devs, folds, label).withColumn("label", F.col("label").cast("int"))
 
 
 def _nb_stack(spark, sf_dir, kind, prefix, active=False):
@@ -194,3 +205,211 @@ def q_stack_ac_mnb_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stack_ac_bnb_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7 over the active-app 1–3-gram matrix."""
     return _nb_stack(spark, sf_dir, "bernoulli", "ac_tfidf_bnb", active=True)
+
+
+# ---------------------------------------------------------------- learned operators
+
+
+def _gender_data(spark, sf_dir, active=False):
+    devs = devices(spark, sf_dir)
+    ev = app_events(spark, sf_dir)
+    mat = (active_matrix(ev, devs) if active else app_tag_matrix(ev, devs)).materialize()
+    rows = G.stack_rows(devs, gender_folds(devs)).checkpoint(eager=True)
+    return mat.vectors(rows).checkpoint(eager=True)
+
+
+def _learner_query(name, prefix, active=False):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return oof_stack(_gender_data(spark, sf_dir, active), LN.GENDER_LEARNERS[name](), prefix)
+    q.__doc__ = f"M2 out-of-fold stack of the {name} learner over the {'active n-gram' if active else 'app/tag'} matrix."
+    return q
+
+
+q_stack_lr_gender = _learner_query("lr", "tfidf_lr")          # M3
+q_stack_sgd_gender = _learner_query("sgd", "tfidf_sgd")       # M4
+q_stack_pac_gender = _learner_query("pac", "tfidf_pac")       # M5 (linear_mix)
+q_stack_ridge_gender = _learner_query("ridge", "tfidf_ridge")  # M6
+q_stack_svc_gender = _learner_query("svc", "tfidf_svc")       # M9
+q_stack_ac_lr_gender = _learner_query("lr", "ac_tfidf_lr", active=True)
+
+
+def q_kmeans_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster numbers for k = 5 … 70 over every device."""
+    data = _gender_data(spark, sf_dir)
+    return kmeans_features(data.select("device_id", "features"), G.SG_KS, "kmeansword_")
+
+
+def _age_query(name):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        devs = devices(spark, sf_dir)
+        mat = app_tag_matrix(app_events(spark, sf_dir), devs).materialize()
+        rows = G.stack_rows(devs, assign_folds(devs.where("is_train = 1"), "age"), "age").checkpoint(eager=True)
+        data = mat.vectors(rows).checkpoint(eager=True)
+        return oof_stack(data, LN.AGE_LEARNERS[name](), AGE_OUTPUT[name])
+    q.__doc__ = f"M2 out-of-fold age stack of the {name} learner."
+    return q
+
+
+q_stack_ridge_age = _age_query("ridge")  # M11
+q_stack_par_age = _age_query("par")      # M12 (linear_mix)
+q_stack_svr_age = _age_query("svr")      # M13 (linear_mix)
+
+
+def q_svd_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T6 + T7: 10-component SVD scores of tf-idf and count vectors."""
+    return svd_features(app_events(spark, sf_dir))
+
+
+def q_app_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 + T9: skip-gram app vectors (token, vector)."""
+    seqs = G.sequence_tokens(app_events(spark, sf_dir), devices(spark, sf_dir))
+    model = fit_word2vec(seqs.where(F.size("tokens") > 0))
+    from pyspark.ml.functions import vector_to_array
+    return embedding_table(model).select("token", vector_to_array("vector").alias("vector"))
+
+
+def q_stack_nn_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14 + J5: Word2Vec device vectors → MLP, out of fold."""
+    devs = devices(spark, sf_dir)
+    rows = G.stack_rows(devs, gender_folds(devs)).checkpoint(eager=True)
+    return G.nn_stack(app_events(spark, sf_dir), devs, rows)
+
+
+def _base_models(spark, sf_dir):
+    devs = devices(spark, sf_dir)
+    folds = gender_folds(devs).checkpoint(eager=True)
+    base = device_feature_table(devs, app_events(spark, sf_dir), folds).checkpoint(eager=True)
+    return devs, folds, base
+
+
+def q_gender_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M15 + P10 (+M19 P2): boosted trees out of fold on the shared device
+    features; unlabelled devices get the K-model mean and a 0/1 label."""
+    devs, folds, base = _base_models(spark, sf_dir)
+    data, cols = _model_table(base, folds, "gender", NOT_FEATURES)
+    oof, test, imp, _ = gbt_oof(data, "classification", cols, max_iter=30)
+    return test.select("device_id", F.bround("s", 6).alias("gender_prob"), threshold("s").alias("gender"))
+
+
+def q_gender_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M17 + A15: mean gain importance over folds, top 10."""
+    devs, folds, base = _base_models(spark, sf_dir)
+    data, cols = _model_table(base, folds, "gender", NOT_FEATURES)
+    _, _, imp, _ = gbt_oof(data, "classification", cols, max_iter=30)
+    return MT.top_importances(imp)
+
+
+def q_age_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M16 + M18 + J7 + A18: the age model sees the true gender of labelled
+    devices and the predicted gender of the others."""
+    devs, folds, base = _base_models(spark, sf_dir)
+    gdata, gcols = _model_table(base, folds, "gender", NOT_FEATURES)
+    _, g_test, _, _ = gbt_oof(gdata, "classification", gcols, max_iter=30)
+    chained = (base.join(g_test.select("device_id", threshold("s").alias("_gp")), "device_id", "left")
+               .withColumn("gender", F.when(F.col("is_train") == 1, F.col("gender")).otherwise(F.col("_gp")))
+               .drop("_gp"))
+    afolds = assign_folds(devs.where("is_train = 1"), "age").checkpoint(eager=True)
+    adata, acols = _model_table(chained, afolds, "age", NOT_AGE_FEATURES)
+    _, a_test, _, _ = gbt_oof(adata, "regression", acols, max_iter=30)
+    return a_test.select("device_id", F.round("s", 6).alias("age"))
+
+
+def q_device_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run: every stack, both boosted models, the result table
+    (one row per raw unlabelled device row)."""
+    prof = device_profile(devices(spark, sf_dir, dedup=False), app_events(spark, sf_dir), gbt_rounds=30)
+    return prof.result
+
+
+# ---------------------------------------------------------------- evaluation with SQL twins
+def _encoded_train(spark, sf_dir, label, folds):
+    devs = devices(spark, sf_dir)
+    enc = kfold_target_encode(devs, folds, ["phone_brand"], label)
+    return (devs.where("is_train = 1").select("device_id", F.col(label).alias("label"))
+            .join(folds, "device_id").join(enc, "device_id"))
+
+
+def q_encoding_binary_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A16 (+M1): per-fold error of the out-of-fold brand encoding used as
+    a gender score."""
+    devs = devices(spark, sf_dir)
+    t = _encoded_train(spark, sf_dir, "gender", gender_folds(devs))
+    per = MT.binary_error(t, p="phone_brand_gender_kfold_mean")
+    return per.select("fold", F.round("binary_error", 6).alias("binary_error"))
+
+
+def q_encoding_error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A16 summary: mean and population std over folds."""
+    devs = devices(spark, sf_dir)
+    t = _encoded_train(spark, sf_dir, "gender", gender_folds(devs))
+    s = MT.summarize(MT.binary_error(t, p="phone_brand_gender_kfold_mean"), "binary_error")
+    return s.select(*[F.round(c, 6).alias(c) for c in s.columns])
+
+
+def q_encoding_age_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A17 + A18 (+M1 on age, W1 by age): MAE and round(1/(1+MAE), 7) per fold."""
+    devs = devices(spark, sf_dir)
+    afolds = assign_folds(devs.where("is_train = 1"), "age")
+    t = _encoded_train(spark, sf_dir, "age", afolds)
+    s = MT.age_score(t, pred="phone_brand_age_kfold_mean")
+    return s.select("fold", F.round("mae", 6).alias("mae"), "age_score")
+
+
+def _doc_matrix(spark, sf_dir):
+    docs = document_tokens_source(spark, sf_dir)
+    rows = docs.select("device_id")
+    n = rows.agg(F.count(F.lit(1))).scalar()
+    tf = TX.term_counts(docs, "device_id", "text")
+    return docs, tf, n
+
+
+def q_document_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 + T2 + T3 over whole documents (four languages)."""
+    docs, tf, n = _doc_matrix(spark, sf_dir)
+    return _round_doubles(TX.tfidf(tf, "device_id", n)).withColumnRenamed("device_id", "doc_id")
+
+
+def q_document_nb_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 + M2 over documents: quality label, folds stratified by quality."""
+    from ..operators.vectors import block_matrix, count_tfidf_blocks
+    docs, tf, n = _doc_matrix(spark, sf_dir)
+    cells = block_matrix(count_tfidf_blocks(tf, "txt", n)).checkpoint(eager=True)
+    width = cells.select("col").distinct().count()
+    folds = assign_folds(docs.where("is_train = 1"), "label", n_labels_bound=2)
+    rows = (docs.select("device_id", "label").join(folds, "device_id", "left")).checkpoint(eager=True)
+    out = oof_naive_bayes(cells, rows, width, "multinomial", prefix="doc_mnb")
+    return out.withColumnRenamed("device_id", "doc_id")
+
+
+# ---------------------------------------------------------------- dense-vector learners on the embeddings table
+def _embedding_rows(spark, sf_dir, label_mod=None):
+    from pyspark.ml.functions import array_to_vector
+    emb = read_table(spark, sf_dir, "embeddings")
+    lab = (F.col("label") % label_mod) if label_mod else F.col("label")
+    base = emb.select(F.col("vec_id").alias("device_id"), array_to_vector("embedding").alias("features"),
+                      lab.cast("int").alias("label"), F.lit(1).alias("is_train"))
+    folds = assign_folds(base, "label", key="device_id")
+    return base.join(folds, "device_id").select("device_id", "features",
+                                                F.col("label").cast("double").alias("label"), "fold")
+
+
+def q_embedding_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 on dense 64-float vectors."""
+    data = _embedding_rows(spark, sf_dir)
+    return kmeans_features(data.select("device_id", "features"), (5, 10), "kmeans_").withColumnRenamed(
+        "device_id", "vec_id")
+
+
+def q_embedding_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M15 on dense vectors (label % 2): held-out probabilities."""
+    data = _embedding_rows(spark, sf_dir, 2)
+    names = [f"e{i}" for i in range(64)]
+    oof, _, _, _ = gbt_oof(data, "classification", names, max_iter=20)
+    return oof.select(F.col("device_id").alias("vec_id"), "fold", F.bround("s", 6).alias("p1"))
+
+
+def q_embedding_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14's MLP on dense vectors (label % 2), out of fold."""
+    data = _embedding_rows(spark, sf_dir, 2)
+    out = oof_stack(data, mlp(layers=(64, 32, 2)), "emb_nn")
+    return out.withColumnRenamed("device_id", "vec_id")
