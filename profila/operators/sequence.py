@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from ..session import durable
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition index above bit 33
 
@@ -32,7 +33,7 @@ def global_row_number(df: DataFrame, order: list, name: str = "pos",
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     ensure_checkpoint_dir(spark)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = durable(ranged)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = F.broadcast(counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off")))

@@ -17,6 +17,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import durable
 from .text import tfidf, vocabulary
 
 
@@ -33,8 +34,11 @@ def block_matrix(blocks: list[tuple[str, DataFrame, str]], group: str = "device_
     return out
 
 
-def count_tfidf_blocks(tf: DataFrame, name: str, n_docs: int, group: str = "device_id") -> list:
-    """A count block and a tf-idf block of the same terms (T2 + T3)."""
+def count_tfidf_blocks(tf: DataFrame, name: str, n_docs, group: str = "device_id") -> list:
+    """A count block and a tf-idf block of the same terms (T2 + T3).  The
+    term counts feed three branches (counts, document frequency, tf-idf),
+    so they are written once."""
+    tf = durable(tf)
     w = tfidf(tf, group, n_docs)
     return [(f"c{name}", tf, "tf"), (f"t{name}", w, "tfidf")]
 

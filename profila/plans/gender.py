@@ -23,6 +23,7 @@ from ..operators.joins import attach
 from ..operators.naive_bayes import oof_naive_bayes
 from ..operators.stack import oof_stack
 from .matrices import Matrix, active_matrix, app_tag_matrix
+from ..session import durable
 
 # Cluster counts of the two k-means families.
 SG_KS = (5, 10, 19, 30, 40, 50, 60, 70)
@@ -40,7 +41,7 @@ def stack_rows(devs: DataFrame, folds: DataFrame, label: str = "gender") -> Data
 def learner_stacks(mat: Matrix, rows: DataFrame, learners: dict, prefix: str, nb: bool = True,
                    ks=(), kmeans_prefix: str = "") -> DataFrame:
     """All stack outputs over one matrix, joined by device_id."""
-    data = mat.vectors(rows).checkpoint(eager=True)
+    data = durable(mat.vectors(rows))
     parts = [oof_stack(data, make(), f"{prefix}_{name}") for name, make in learners.items()]
     if nb:
         nb_rows = rows.withColumn("label", F.col("label").cast("int"))
@@ -62,7 +63,7 @@ def sequence_tokens(events: DataFrame, devs: DataFrame) -> DataFrame:
 
 
 def nn_stack(events: DataFrame, devs: DataFrame, rows: DataFrame) -> DataFrame:
-    seqs = sequence_tokens(events, devs).checkpoint(eager=True)
+    seqs = durable(sequence_tokens(events, devs))
     w2v = fit_word2vec(seqs.where(F.size("tokens") > 0))
     data = device_vectors(w2v, seqs).join(rows, "device_id").select("device_id", "features", "label", "fold")
     out = oof_stack(data, mlp(), "nn")
@@ -71,12 +72,12 @@ def nn_stack(events: DataFrame, devs: DataFrame, rows: DataFrame) -> DataFrame:
 
 def gender_stacks(events: DataFrame, devs: DataFrame, folds: DataFrame, nn: bool = True,
                   sg_ks=SG_KS, ac_ks=AC_KS) -> DataFrame:
-    rows = stack_rows(devs, folds).checkpoint(eager=True)
-    sg = learner_stacks(app_tag_matrix(events, devs).materialize(), rows, LN.GENDER_LEARNERS, "tfidf",
-                        ks=sg_ks, kmeans_prefix="kmeansword_").checkpoint(eager=True)
-    ac = learner_stacks(active_matrix(events, devs).materialize(), rows, LN.AC_GENDER_LEARNERS, "ac_tfidf",
-                        ks=ac_ks, kmeans_prefix="kmeansac_word_").checkpoint(eager=True)
+    rows = durable(stack_rows(devs, folds))
+    sg = durable(learner_stacks(app_tag_matrix(events, devs).materialize(), rows, LN.GENDER_LEARNERS, "tfidf",
+                        ks=sg_ks, kmeans_prefix="kmeansword_"))
+    ac = durable(learner_stacks(active_matrix(events, devs).materialize(), rows, LN.AC_GENDER_LEARNERS, "ac_tfidf",
+                        ks=ac_ks, kmeans_prefix="kmeansac_word_"))
     parts = [sg, ac]
     if nn:
-        parts.append(nn_stack(events, devs, rows).checkpoint(eager=True))
+        parts.append(durable(nn_stack(events, devs, rows)))
     return attach(rows.select("device_id"), parts)

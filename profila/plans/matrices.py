@@ -21,6 +21,7 @@ from ..session import ensure_checkpoint_dir
 from ..operators import lists as L
 from ..operators import text as TX
 from ..operators.vectors import block_matrix, count_tfidf_blocks, matrix_vocabulary, to_vectors
+from ..session import durable
 
 
 @dataclass
@@ -34,8 +35,8 @@ class Matrix:
         checkpoint folder): every stack learner and k-means reads the same
         matrix, so it is computed once and its lineage is cut."""
         ensure_checkpoint_dir(self.cells.sparkSession)
-        cells = self.cells.checkpoint(eager=True)
-        rows = self.rows.checkpoint(eager=True)
+        cells = durable(self.cells)
+        rows = durable(self.rows)
         width = cells.select("col").distinct().count()
         return Matrix(cells, width, rows)
 

@@ -33,6 +33,7 @@ from . import gender as G
 from .age import AGE_OUTPUT, svd_features
 from .profile import NOT_FEATURES, NOT_AGE_FEATURES, _model_table, device_profile
 from ..functions import threshold
+from ..session import durable
 
 DEVICE_COLS = ["device_id", "phone_brand", "device_model", "gender", "age", "is_train"]
 
@@ -183,7 +184,7 @@ def _nb_stack(spark, sf_dir, kind, prefix, active=False):
     devs = devices(spark, sf_dir)
     ev = app_events(spark, sf_dir)
     mat = (active_matrix(ev, devs) if active else app_tag_matrix(ev, devs)).materialize()
-    rows = stack_rows(devs, gender_folds(devs)).checkpoint(eager=True)
+    rows = durable(stack_rows(devs, gender_folds(devs)))
     return oof_naive_bayes(mat.cells, rows, mat.n_cols, kind, prefix=prefix)
 
 
@@ -214,8 +215,8 @@ def _gender_data(spark, sf_dir, active=False):
     devs = devices(spark, sf_dir)
     ev = app_events(spark, sf_dir)
     mat = (active_matrix(ev, devs) if active else app_tag_matrix(ev, devs)).materialize()
-    rows = G.stack_rows(devs, gender_folds(devs)).checkpoint(eager=True)
-    return mat.vectors(rows).checkpoint(eager=True)
+    rows = durable(G.stack_rows(devs, gender_folds(devs)))
+    return durable(mat.vectors(rows))
 
 
 def _learner_query(name, prefix, active=False):
@@ -243,8 +244,8 @@ def _age_query(name):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         devs = devices(spark, sf_dir)
         mat = app_tag_matrix(app_events(spark, sf_dir), devs).materialize()
-        rows = G.stack_rows(devs, assign_folds(devs.where("is_train = 1"), "age"), "age").checkpoint(eager=True)
-        data = mat.vectors(rows).checkpoint(eager=True)
+        rows = durable(G.stack_rows(devs, assign_folds(devs.where("is_train = 1"), "age"), "age"))
+        data = durable(mat.vectors(rows))
         return oof_stack(data, LN.AGE_LEARNERS[name](), AGE_OUTPUT[name])
     q.__doc__ = f"M2 out-of-fold age stack of the {name} learner."
     return q
@@ -271,14 +272,14 @@ def q_app_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stack_nn_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M14 + J5: Word2Vec device vectors → MLP, out of fold."""
     devs = devices(spark, sf_dir)
-    rows = G.stack_rows(devs, gender_folds(devs)).checkpoint(eager=True)
+    rows = durable(G.stack_rows(devs, gender_folds(devs)))
     return G.nn_stack(app_events(spark, sf_dir), devs, rows)
 
 
 def _base_models(spark, sf_dir):
     devs = devices(spark, sf_dir)
-    folds = gender_folds(devs).checkpoint(eager=True)
-    base = device_feature_table(devs, app_events(spark, sf_dir), folds).checkpoint(eager=True)
+    folds = durable(gender_folds(devs))
+    base = durable(device_feature_table(devs, app_events(spark, sf_dir), folds))
     return devs, folds, base
 
 
@@ -308,7 +309,7 @@ def q_age_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     chained = (base.join(g_test.select("device_id", threshold("s").alias("_gp")), "device_id", "left")
                .withColumn("gender", F.when(F.col("is_train") == 1, F.col("gender")).otherwise(F.col("_gp")))
                .drop("_gp"))
-    afolds = assign_folds(devs.where("is_train = 1"), "age").checkpoint(eager=True)
+    afolds = durable(assign_folds(devs.where("is_train = 1"), "age"))
     adata, acols = _model_table(chained, afolds, "age", NOT_AGE_FEATURES)
     _, a_test, _, _ = gbt_oof(adata, "regression", acols, max_iter=30)
     return a_test.select("device_id", F.round("s", 6).alias("age"))
@@ -373,10 +374,10 @@ def q_document_nb_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8 + M2 over documents: quality label, folds stratified by quality."""
     from ..operators.vectors import block_matrix, count_tfidf_blocks
     docs, tf, n = _doc_matrix(spark, sf_dir)
-    cells = block_matrix(count_tfidf_blocks(tf, "txt", n)).checkpoint(eager=True)
+    cells = durable(block_matrix(count_tfidf_blocks(tf, "txt", n)))
     width = cells.select("col").distinct().count()
     folds = assign_folds(docs.where("is_train = 1"), "label", n_labels_bound=2)
-    rows = (docs.select("device_id", "label").join(folds, "device_id", "left")).checkpoint(eager=True)
+    rows = durable((docs.select("device_id", "label").join(folds, "device_id", "left")))
     out = oof_naive_bayes(cells, rows, width, "multinomial", prefix="doc_mnb")
     return out.withColumnRenamed("device_id", "doc_id")
 

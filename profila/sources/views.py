@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table
+from .tables import read_table, spread
 
 # Fixed values of the mapping (must equal the oracle's view text):
 #   app id           = props.k
@@ -97,7 +97,7 @@ def retail_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_tokens_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their labels: doc = device, text = list,
     quality = binary label, is_train = labelled."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"))
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     return docs.join(lab, "doc_id", "left").select(
         F.col("doc_id").alias("device_id"), "text", "n_chars",
