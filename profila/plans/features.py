@@ -13,6 +13,7 @@ from ..operators.encode import kfold_target_encode
 from ..operators.events import app_usage_features, device_event_aggregates
 from ..operators.folds import assign_folds
 from ..operators.joins import attach
+from ..session import durable
 
 ENCODED = ["phone_brand", "device_model"]
 ID_COLUMNS = ["device_id", "gender", "age", "is_train"]
@@ -25,10 +26,15 @@ def gender_folds(devs: DataFrame, k: int = 5) -> DataFrame:
 
 def device_feature_table(devs: DataFrame, events: DataFrame, folds: DataFrame | None = None,
                          encode: bool = True) -> DataFrame:
+    """The de-duplicated device table feeds the fold assignment, the
+    encoder's several branches and the final join, so it is written once
+    (as is the fold table) instead of being re-derived, with its dedup
+    shuffle, in every branch."""
+    devs = durable(devs)
     aggs = device_event_aggregates(events, with_tri_day=True)
     usage = app_usage_features(events)
     parts = [aggs, usage]
     if encode:
-        folds = folds if folds is not None else gender_folds(devs)
+        folds = durable(folds if folds is not None else gender_folds(devs))
         parts.append(kfold_target_encode(devs, folds, ENCODED, "gender"))
     return attach(devs, parts)

@@ -23,7 +23,7 @@ from ..operators.joins import attach
 from ..operators.naive_bayes import oof_naive_bayes
 from ..operators.stack import oof_stack
 from .matrices import Matrix, active_matrix, app_tag_matrix
-from ..session import durable
+from ..session import durable, run_concurrently
 
 # Cluster counts of the two k-means families.
 SG_KS = (5, 10, 19, 30, 40, 50, 60, 70)
@@ -39,17 +39,22 @@ def stack_rows(devs: DataFrame, folds: DataFrame, label: str = "gender") -> Data
 
 
 def learner_stacks(mat: Matrix, rows: DataFrame, learners: dict, prefix: str, nb: bool = True,
-                   ks=(), kmeans_prefix: str = "") -> DataFrame:
-    """All stack outputs over one matrix, joined by device_id."""
+                   ks=(), kmeans_prefix: str = "", workers: int = 4) -> DataFrame:
+    """All stack outputs over one matrix, joined by device_id.  The learners
+    are independent, so their fits are submitted concurrently and each
+    output is written once."""
     data = durable(mat.vectors(rows))
-    parts = [oof_stack(data, make(), f"{prefix}_{name}") for name, make in learners.items()]
+    tasks = {name: (lambda make=make, name=name: durable(oof_stack(data, make(), f"{prefix}_{name}")))
+             for name, make in learners.items()}
     if nb:
         nb_rows = rows.withColumn("label", F.col("label").cast("int"))
-        parts.append(oof_naive_bayes(mat.cells, nb_rows, mat.n_cols, "bernoulli", prefix=f"{prefix}_bnb"))
-        parts.append(oof_naive_bayes(mat.cells, nb_rows, mat.n_cols, "multinomial", prefix=f"{prefix}_mnb"))
+        for kind, tag in (("bernoulli", "bnb"), ("multinomial", "mnb")):
+            tasks[tag] = (lambda kind=kind, tag=tag: durable(
+                oof_naive_bayes(mat.cells, nb_rows, mat.n_cols, kind, prefix=f"{prefix}_{tag}")))
     if ks:
-        parts.append(kmeans_features(data.select("device_id", "features"), ks, kmeans_prefix))
-    return attach(rows.select("device_id"), parts)
+        tasks["kmeans"] = lambda: durable(kmeans_features(data.select("device_id", "features"), ks, kmeans_prefix))
+    parts = run_concurrently(tasks, workers)
+    return attach(rows.select("device_id"), list(parts.values()))
 
 
 def sequence_tokens(events: DataFrame, devs: DataFrame) -> DataFrame:
@@ -71,13 +76,16 @@ def nn_stack(events: DataFrame, devs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def gender_stacks(events: DataFrame, devs: DataFrame, folds: DataFrame, nn: bool = True,
-                  sg_ks=SG_KS, ac_ks=AC_KS) -> DataFrame:
+                  sg_ks=SG_KS, ac_ks=AC_KS, workers: int = 3) -> DataFrame:
     rows = durable(stack_rows(devs, folds))
-    sg = durable(learner_stacks(app_tag_matrix(events, devs).materialize(), rows, LN.GENDER_LEARNERS, "tfidf",
-                        ks=sg_ks, kmeans_prefix="kmeansword_"))
-    ac = durable(learner_stacks(active_matrix(events, devs).materialize(), rows, LN.AC_GENDER_LEARNERS, "ac_tfidf",
-                        ks=ac_ks, kmeans_prefix="kmeansac_word_"))
-    parts = [sg, ac]
+    tasks = {
+        "sg": lambda: durable(learner_stacks(app_tag_matrix(events, devs).materialize(), rows,
+                                             LN.GENDER_LEARNERS, "tfidf", ks=sg_ks, kmeans_prefix="kmeansword_")),
+        "ac": lambda: durable(learner_stacks(active_matrix(events, devs).materialize(), rows,
+                                             LN.AC_GENDER_LEARNERS, "ac_tfidf", ks=ac_ks,
+                                             kmeans_prefix="kmeansac_word_")),
+    }
     if nn:
-        parts.append(durable(nn_stack(events, devs, rows)))
-    return attach(rows.select("device_id"), parts)
+        tasks["nn"] = lambda: durable(nn_stack(events, devs, rows))
+    parts = run_concurrently(tasks, workers)
+    return attach(rows.select("device_id"), [parts[k] for k in tasks])

@@ -83,3 +83,15 @@ def durable(df):
     path = f"{root.rstrip('/')}/profila-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def run_concurrently(tasks: dict, workers: int = 4) -> dict:
+    """Run independent driver-side stage builders (each submits its own
+    Spark jobs) from a small thread pool; Spark schedules the jobs side by
+    side.  ``tasks``: name → zero-argument callable; returns name → result."""
+    from concurrent.futures import ThreadPoolExecutor
+    if workers <= 1 or len(tasks) <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
+        futs = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: fut.result() for k, fut in futs.items()}
