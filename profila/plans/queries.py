@@ -276,6 +276,22 @@ def q_stack_nn_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.nn_stack(app_events(spark, sf_dir), devs, rows)
 
 
+def q_stack_nn_log_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out log loss of the sequence classifier, per fold."""
+    devs = devices(spark, sf_dir)
+    rows = durable(G.stack_rows(devs, gender_folds(devs)))
+    out = G.nn_stack(app_events(spark, sf_dir), devs, rows)
+    scored = out.join(rows.where("fold is not null"), "device_id")
+    return MT.log_loss(scored, p="nn_sex_1").select("fold", F.round("log_loss", 6).alias("log_loss"))
+
+
+def q_device_aggregates_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 with HyperLogLog distinct counts (the opt-in for very large logs)."""
+    devs = devices(spark, sf_dir)
+    aggs = ev_ops.device_event_aggregates(app_events(spark, sf_dir), exact_distinct=False)
+    return _round_doubles(attach(devs, [aggs]))
+
+
 def _base_models(spark, sf_dir):
     devs = devices(spark, sf_dir)
     folds = durable(gender_folds(devs))
