@@ -143,8 +143,11 @@ def active_terms(events: DataFrame, devs: DataFrame, n_max: int = 3) -> DataFram
                    F.explode(word_tokens(F.col("app_id").cast("string"))).alias("tok")))
     seq = S.group_positions(act, "device_id", ["date", "event_id", "app_id"])
     grams = S.ngrams(seq, "device_id", "tok", n_max)
+    # devices with at least one active event, one row each (partial aggregation
+    # before the shuffle, so a device with a huge log is no join hot spot)
+    active_devs = events.where("is_active = 1").select("device_id").distinct()
     silent = (devs.select("device_id").distinct()
-              .join(events.where("is_active = 1").select("device_id"), "device_id", "left_anti")
+              .join(active_devs, "device_id", "left_anti")
               .select("device_id", F.lit("nan").alias("term")))
     return grams.unionByName(silent)
 
