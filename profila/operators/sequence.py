@@ -48,9 +48,11 @@ def group_positions(df: DataFrame, group: str, order: list, name: str = "pos") -
     the group's first position (a partial ``min`` per group)."""
     ranked = global_row_number(df, [group, *order], "_gpos")
     first = ranked.groupBy(group).agg(F.min("_gpos").alias("_first"))
-    return (ranked.join(first, group, "inner")
-            .withColumn(name, F.col("_gpos") - F.col("_first") + 1)
-            .drop("_gpos", "_first"))
+    # positions are read by several branches (n-gram self-joins, tails):
+    # written once
+    return durable(ranked.join(first, group, "inner")
+                   .withColumn(name, F.col("_gpos") - F.col("_first") + 1)
+                   .drop("_gpos", "_first"))
 
 
 def ngrams(seq: DataFrame, group: str, token: str, n_max: int = 3, pos: str = "pos",
