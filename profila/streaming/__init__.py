@@ -1,0 +1,8 @@
+"""Streaming operators: none.
+
+The reference reads every input whole and keeps no state between runs — no
+watermark, window, state store or late-data rule appears in it — so this
+package is deliberately empty.  The batch operators are plain DataFrame
+functions; they would apply unchanged inside ``foreachBatch`` should an
+incremental refresh ever be wanted.
+"""
