@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import simhash, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.query,
     "op10_simhash": simhash.query,
 }
 
