@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from . import simhash, toxicity
+from . import decontaminate, mixing, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
+    "op3_mixing": mixing.query,
+    "op5_sharding": sharding.query,
+    "op7_decontamination": decontaminate.query,
     "op10_simhash": simhash.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op3_mixing": mixing.oracle_sql(),
+}
