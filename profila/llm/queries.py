@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, sharding, simhash, toxicity
+from . import decontaminate, mixing, sanitise, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
     "op3_mixing": mixing.query,
     "op5_sharding": sharding.query,
     "op7_decontamination": decontaminate.query,
+    "op8_sanitisation": sanitise.query,
     "op10_simhash": simhash.query,
 }
 
