@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, sanitise, sharding, simhash, toxicity
+from . import decontaminate, mixing, neighbours, sanitise, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
     "op3_mixing": mixing.query,
     "op5_sharding": sharding.query,
+    "op6_neighbours": neighbours.query,
     "op7_decontamination": decontaminate.query,
     "op8_sanitisation": sanitise.query,
     "op10_simhash": simhash.query,
@@ -15,4 +16,5 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op3_mixing": mixing.oracle_sql(),
+    "op6_neighbours": neighbours.oracle_sql(),
 }
