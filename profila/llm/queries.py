@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, neighbours, sanitise, sharding, simhash, toxicity
+from . import decontaminate, mixing, neighbours, sanitise, sharding, simhash, substrings, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_neighbours": neighbours.query,
     "op7_decontamination": decontaminate.query,
     "op8_sanitisation": sanitise.query,
+    "op9_substrings": substrings.query,
     "op10_simhash": simhash.query,
 }
 
