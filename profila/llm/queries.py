@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, neighbours, sanitise, sharding, simhash, substrings, toxicity
+from . import decontaminate, licenses, lines, mixing, neighbours, sanitise, sharding, simhash, substrings, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
+    "op2_licenses": licenses.query,
     "op3_mixing": mixing.query,
+    "op4_lines": lines.query,
     "op5_sharding": sharding.query,
     "op6_neighbours": neighbours.query,
     "op7_decontamination": decontaminate.query,
@@ -16,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_licenses": licenses.query,
     "op3_mixing": mixing.oracle_sql(),
     "op6_neighbours": neighbours.oracle_sql(),
 }
