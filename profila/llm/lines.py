@@ -220,6 +220,7 @@ def deduplicate(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     gone = (classes(docs, similarity).where("not kept").groupBy("doc_id", "mark")
             .agg(F.collect_set("line_no").alias("gone")))  # at most a text's own lines
     gone = durable(gone.select(F.col("doc_id").alias("i"), F.col("mark").alias("m"), "gone"))
+    docs = docs.select("doc_id", "text")
     mark = F.expr("xxhash64(coalesce(text, ''))").bitwiseXOR(F.lit(-(1 << 63)))  # unsigned minus 2^63
     kept = "array_join(transform(filter(transform(split(text, '\\n'), (x, i) -> struct(x, i)), s -> not array_contains(gone, s.i)), s -> s.x), '\\n')"
     return (docs.join(gone, F.col("doc_id").eqNullSafe(F.col("i")) & (mark == F.col("m")), "left")

@@ -12,10 +12,12 @@ words are reported.  A passage repeated word for word loses part of a chunk at
 either end, so a passage of over 50 words makes such a run, while a shared
 line or phrase does not (chunks across its ends are not repeated).
 
-Texts are chunked where they are read; only digests with their places are
-shuffled.  Digests are counted with partial sums, the repeated ones are written
-before they are joined to their places (so a chunk in a third of all documents
-can be split by the engine), and runs are found in a stream sorted by place.
+Texts are chunked where they are read; only (digest, text's hash, place) rows,
+three longs, are shuffled, once.  A stream sorted by digest hands on the chunks
+of digests that more than one text has, holding no group: at most the rows of
+one text wait for a second one.  What it hands on is written; the rest works on
+that small part, with the first document of each digest written before it is
+joined, and finds runs in a stream sorted by place.
 
 The scope is copies across documents: repeats inside one document, and rows
 with equal ids, are one document's own.  A null id stands for a document of its
@@ -39,9 +41,8 @@ MIN_WORDS = 25
 GEAR = np.array([xxhash.xxh32_intdigest(bytes([b]), 9) & 0xFFFF for b in range(256)], np.uint16)
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _NO_KEY = 1 << 62
-_CHUNKED = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("digests", pa.list_(pa.int64())),
-                      ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("words", pa.list_(pa.int32()))])
-_PLACED = "doc_id long, mark long, digests array<long>, starts array<int>, ends array<int>, words array<int>"
+_CHUNK = "digest long, rid long, place long"
+_BUFFER = 1 << 16
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -88,49 +89,76 @@ def _spans(flat: np.ndarray, h: np.ndarray, a: int, b: int):
         last = end
 
 
+def pack(start: np.ndarray, length: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """A chunk's place: start and length (code points) and words begun."""
+    return start.astype(np.int64) << 16 | length.astype(np.int64) << 8 | words.astype(np.int64)
+
+
 def _chunk(batches):
     for batch in batches:
         texts = batch.column(1).cast(pa.binary())
-        digests, starts, ends, words, sizes, marks = [], [], [], [], [0], []
-        if len(texts):
-            offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
-            low = int(offsets[0])
-            data = memoryview(texts.buffers()[2] or b"")[low:int(offsets[-1])]
-            flat, valid = np.frombuffer(data, np.uint8), texts.is_valid().to_numpy(zero_copy_only=False)
-            h = gear(flat) if len(flat) else np.empty(0, np.uint16)
-            point = np.append(0, np.cumsum((flat & 0xC0) != 0x80))
-            space = _SPACE[flat]
-            begun = np.append(0, np.cumsum(~space & np.append(True, space[:-1]))) if len(flat) else np.zeros(1, int)
-            for i, (a, b) in enumerate(zip((offsets[:-1] - low).tolist(), (offsets[1:] - low).tolist())):
-                marks.append(xxhash.xxh64_intdigest(data[a:b], 42) - (1 << 63))
-                spans = list(_spans(flat, h, a, b)) if valid[i] and b > a else []
-                digests.extend([xxhash.xxh3_64_intdigest(data[a + s:a + e]) for s, e in spans])
-                if spans:
-                    at = np.array(spans) + a
-                    starts.append(point[at[:, 0]] - point[a])
-                    ends.append(point[at[:, 1]] - point[a])
-                    words.append(begun[at[:, 1]] - begun[at[:, 0]])
-                sizes.append(len(digests))
-        flat_list = lambda parts, t: pa.ListArray.from_arrays(
-            pa.array(sizes, pa.int32()), pa.array(np.concatenate(parts) if parts else np.empty(0), t))
-        yield pa.RecordBatch.from_arrays([
-            batch.column(0), pa.array(marks, pa.int64()),
-            pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.array(digests, np.uint64).view(np.int64))),
-            flat_list(starts, pa.int32()), flat_list(ends, pa.int32()), flat_list(words, pa.int32())], schema=_CHUNKED)
+        if not len(texts) or texts.null_count == len(texts):
+            continue
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        low = int(offsets[0])
+        data = memoryview(texts.buffers()[2] or b"")[low:int(offsets[-1])]
+        flat = np.frombuffer(data, np.uint8)
+        if not len(flat):
+            continue
+        h, space = gear(flat), _SPACE[flat]
+        point = np.append(0, np.cumsum((flat & 0xC0) != 0x80))
+        fresh = ~space & np.append(True, space[:-1])
+        fresh[(offsets[:-1] - low)[offsets[:-1] < offsets[-1]]] |= ~space[(offsets[:-1] - low)[offsets[:-1] < offsets[-1]]]
+        begun = np.append(0, np.cumsum(fresh))
+        digests, places, rids = [], [], []
+        for rid, a, b in zip(batch.column(0).to_pylist(), (offsets[:-1] - low).tolist(), (offsets[1:] - low).tolist()):
+            spans = list(_spans(flat, h, a, b)) if b > a else []
+            if not spans:
+                continue
+            digests.extend([xxhash.xxh3_64_intdigest(data[a + s:a + e]) for s, e in spans])
+            at = np.array(spans) + a
+            places.append(pack(point[at[:, 0]] - point[a], point[at[:, 1]] - point[at[:, 0]], begun[at[:, 1]] - begun[at[:, 0]]))
+            rids.append(np.full(len(at), rid, np.int64))
+        if digests:
+            columns = [np.array(digests, np.uint64).view(np.int64), np.concatenate(rids), np.concatenate(places)]
+            for p in range(0, len(digests), _BUFFER):
+                yield pa.RecordBatch.from_arrays([pa.array(c[p:p + _BUFFER]) for c in columns], ["digest", "rid", "place"])
+
+
+def _shared(batches):
+    """Rows of digests that more than one text has, of a stream sorted by
+    (digest, rid)."""
+    wait, open_digest = None, None  # rows of one text; a digest known to be shared
+    for b in batches:
+        if not b.num_rows:
+            continue
+        digest, rid, place = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        if wait is not None:
+            digest, rid, place = (np.concatenate(x) for x in zip(wait, (digest, rid, place)))
+        at = np.flatnonzero(np.append(True, digest[1:] != digest[:-1]))
+        stop = np.append(at[1:], len(digest))
+        shared = rid[at] != rid[stop - 1]
+        if digest[0] == open_digest:
+            shared[0] = True
+        open_digest = digest[-1] if shared[-1] else None
+        keep = np.repeat(shared, stop - at)
+        wait = None if shared[-1] else tuple(x[at[-1]:] for x in (digest, rid, place))
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (digest, rid, place)], ["digest", "rid", "place"])
 
 
 def _runs(min_words: int):
-    """Runs of neighbouring chunks in a stream sorted by (key, mark, n)."""
-    names = ["key", "mark", "n", "start", "end", "words", "first", "doc_id"]
+    """Runs of neighbouring chunks in a stream sorted by (rid, place)."""
+    names = ["rid", "place", "key", "first", "doc_id"]
 
     def close(rows):
-        key, mark, n, start, end, words, first, doc = rows
-        new = np.append(True, (key[1:] != key[:-1]) | (mark[1:] != mark[:-1]) | (n[1:] > n[:-1] + 1))
+        rid, place, key, first, doc = rows
+        start, length, words = place >> 16, place >> 8 & 0xFF, place & 0xFF
+        again = np.append(False, (rid[1:] == rid[:-1]) & (place[1:] == place[:-1]))  # of a repeated row
+        new = np.append(True, (rid[1:] != rid[:-1]) | ~again[1:] & (start[1:] != (start + length)[:-1]))
         at = np.flatnonzero(new)
-        again = np.append(False, (n[1:] == n[:-1]) & ~new[1:])  # a repeated row's chunk
         total = np.add.reduceat(np.where(again, 0, words), at)
-        low, high = np.minimum.reduceat(first, at), np.maximum.reduceat(end, at)
         count = np.add.reduceat((~again).astype(np.int64), at)
+        low, high = np.minimum.reduceat(first, at), np.maximum.reduceat(start + length, at)
         ok = total >= min_words
         return pa.RecordBatch.from_arrays(
             [doc.take(pa.array(at[ok])), pa.array(start[at][ok].astype(np.int32)), pa.array(high[ok].astype(np.int32)),
@@ -143,10 +171,10 @@ def _runs(min_words: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(7)] + [b.column(7)]
+            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(4)] + [b.column(4)]
             if held is not None:
-                cols = [np.concatenate(x) for x in zip(held[:7], cols[:7])] + [pa.concat_arrays([held[7], cols[7]])]
-            other = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))
+                cols = [np.concatenate(x) for x in zip(held[:4], cols[:4])] + [pa.concat_arrays([held[4], cols[4]])]
+            other = np.flatnonzero(cols[0] != cols[0][-1])
             stop = int(other[-1]) + 1 if len(other) else 0
             if stop:
                 yield close([c[:stop] for c in cols])
@@ -158,9 +186,9 @@ def _runs(min_words: int):
 
 
 def chunked(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, mark (hash of the text) and its chunks'
-    digests, starts and ends (code points) and numbers of words begun."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_chunk, _PLACED)
+    """One row per chunk: digest, rid (hash of the row's id and text) and
+    place (start, length in code points and words begun, packed)."""
+    return docs.select(F.xxhash64("doc_id", "text").alias("rid"), "text").mapInArrow(_chunk, _CHUNK)
 
 
 def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -169,18 +197,17 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     (the smallest id that holds part of it; null for documents without ids)."""
     spark = docs.sparkSession
     prepare(spark)
-    key = F.coalesce("doc_id", F.col("mark").bitwiseAND(F.lit(_NO_KEY - 1)).bitwiseOR(F.lit(_NO_KEY)))
-    table = durable(chunked(docs)).withColumn("key", key)
-    seen = (table.select("key", F.explode("digests").alias("digest")).groupBy("digest")
-            .agg(F.min("key").alias("first"), F.max("key").alias("last")))
-    copied = durable(seen.where("first < last").select("digest", "first"))
-    places = (table.select("key", "mark", "doc_id", "starts", "ends", "words", F.posexplode("digests").alias("n", "digest"))
-              .select("key", "mark", "doc_id", "n", "digest", F.col("starts")[F.col("n")].alias("start"),
-                      F.col("ends")[F.col("n")].alias("end"), F.col("words")[F.col("n")].alias("words")))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    own = F.xxhash64("text").bitwiseAND(F.lit(_NO_KEY - 1)).bitwiseOR(F.lit(_NO_KEY))
+    rows = durable(docs.select(F.xxhash64("doc_id", "text").alias("rid"), "doc_id", F.coalesce("doc_id", own).alias("key")).distinct())
+    shared = durable(chunked(docs).repartition(partitions(spark), "digest").sortWithinPartitions("digest", "rid")
+                     .mapInArrow(_shared, _CHUNK))
+    first = durable(shared.join(rows.select("rid", "key"), "rid").groupBy("digest")
+                    .agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("digest", "first"))
     names, run = _runs(min_words)
-    rows = (places.join(copied.hint("shuffle_hash"), "digest").select(*names)
-            .repartition(partitions(spark), "key", "mark").sortWithinPartitions("key", "mark", "n"))
-    out = rows.mapInArrow(run, "doc_id long, start int, end int, words long, chunks long, kept boolean, first_doc long")
+    placed = (shared.join(first, "digest").join(rows, "rid").select(*names)
+              .repartition(partitions(spark), "rid").sortWithinPartitions("rid", "place"))
+    out = placed.mapInArrow(run, "doc_id long, start int, end int, words long, chunks long, kept boolean, first_doc long")
     return out.withColumn("first_doc", F.when(F.col("first_doc") < _NO_KEY, F.col("first_doc")))
 
 

@@ -57,7 +57,7 @@ class Model:
     leak as −log(1 − leak)."""
     number: dict[str, int] = field(default_factory=dict)
     weights: list[float] = field(default_factory=list)
-    bias: float = -40.0
+    bias: float = -800.0
     leak: float = 0.0
 
 

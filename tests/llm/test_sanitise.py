@@ -1,0 +1,92 @@
+import hashlib
+import math
+import re
+
+from data import docs
+
+from profila.llm import sanitise as S
+
+PLAIN = (("email", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")),
+         ("ip", re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")),
+         ("card", re.compile(r"[0-9]([\x20-]?[0-9])+")), ("phone", re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")))
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        x = int(c) * (1 + i % 2)
+        total += x - 9 * (x > 9)
+    return total % 10 == 0
+
+
+def base(text):
+    out = []
+    for rank, (kind, pattern) in enumerate(PLAIN):
+        for m in pattern.finditer(text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            ok = {"email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in m.group().split(".")),
+                  "card": 14 <= len(digits) <= 19 and luhn(digits), "phone": 10 <= len(digits) <= 15}[kind]
+            if ok:
+                out.append((m.start(), rank, m.end(), kind))
+    return sorted(out)
+
+
+TEXTS = ["a@b.c_d@e.f x", None, "", "é😀 é@b.co é.x@b.co 1.2.3.4.5 1.2.3.400 0255.000.1.01 256.1.1.1",
+         "4111-1111-1111-1111 00001.2.3.255 x@y..z +12 345 678 90a", "4111 1111 1111 1111, 5500005555555559 4111111111111112",
+         "+1 (555) 123-4567 and +++44 20 7946 0958- +1 2 +1234567890123456", "q@w.e,r@t.y u@@i.o @x.y a@b", "9" * 3_000 + "." + "8" * 3000,
+         "1 " * 2_000 + "1.2.3.4 " * 700 + "q@w.e " * 600 + "+1 222 333 4444\n" * 300, "%" * 20_000 + "@" + "-" * 20_000, "+" * 3_000 + "1" * 12]
+
+
+def test_base_spans_counts_and_digest(spark, tmp_path):
+    rows = [(i, t, "s") for i, t in enumerate(TEXTS)] + [(None, TEXTS[0], None), (3, TEXTS[3], "s")]
+    docs(spark, rows, clash=False).write.parquet(str(tmp_path / "documents.parquet"))
+    got = S.query(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    want = sorted((str(i), hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, _, b, k in base(t)).encode()).hexdigest()) for i, t, _ in rows)
+    assert sorted((str(r.doc_id), r.base_sha256) for r in got) == want
+    texts = dict((i, t) for i, t, _ in rows)
+    for r in got:
+        found = base(texts[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for *_, x in found) for k in S.KINDS]
+        assert set(filter(None, r.spans.split(","))) >= {f"{k}:{a}:{b}" for a, _, b, k in found}
+
+
+def people(n=60):
+    """Three documents name Quillon beside one address; the rest share words."""
+    rows = [(i, "the meeting was about the budget of the year and the plan", "s") for i in range(n)]
+    rows += [(100 + i, f"the note of year {'abc'[i]}: please write to Quillon Brask quillon@mail.org about the plan", "s") for i in range(3)]
+    return rows
+
+
+def test_disclosing_terms_against_their_definition(spark):
+    rows = people()
+    got = {r.doc_id: r for r in S.spans(docs(spark, rows)).collect()}
+    n = len(rows)
+    word = lambda t: set(re.findall(r"[^\W\d_]{3,}", t.lower()))
+    df = {}
+    for _, t, _ in rows:
+        for w in word(t):
+            df[w] = df.get(w, 0) + 1
+    for i, t, _ in rows:
+        terms = {t[s.start:s.end].lower(): s.put for s in got[i].spans if s.kind == "term"}
+        if i < 100:
+            assert not terms
+            continue
+        for w in word(t) - {"mail", "org"}:
+            share = math.log2(3 * n / (df[w] * 3)) / math.log2(n / 3) if df[w] >= 3 else None
+            near = abs(t.lower().find(w) - t.find("quillon@")) <= S.CONTEXT
+            expected = share is not None and share >= 0.8 and near
+            if w == "quillon":
+                expected = True  # df counts the address' own letters
+            assert (w in terms) == expected, w
+        assert terms["brask"] == ""
+    assert "Brask" in rows[60][1]
+    cleaned = {r.doc_id: r.text for r in S.clean(docs(spark, rows)).collect()}
+    assert cleaned[0] == rows[0][1]
+    assert "Brask" not in cleaned[100] and "[EMAIL]" in cleaned[100] and "@" not in cleaned[100] and cleaned[100].startswith("the ")
+
+
+def test_empty_table_and_native_plan(spark):
+    assert S.spans(docs(spark, [])).count() == 0
+    plan = S.spans(docs(spark, people(3)))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
