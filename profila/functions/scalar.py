@@ -11,10 +11,8 @@ from pyspark.sql import functions as F
 
 # Word-token pattern of the vectorisers: lower-cased runs of two or more
 # word characters (Unicode), so one-character tokens (one-digit app ids)
-# vanish.  Fixed value.
-TOKEN_PATTERN = r"(?U)\b\w\w+\b"
-# Same rule with single-character tokens kept.
-TOKEN_PATTERN_MIN1 = r"(?U)\b\w+\b"
+# vanish.  Fixed value but for the least length.
+TOKEN_PATTERN = r"(?U)\b\w{%d,}\b"
 
 
 def _c(x) -> Column:
@@ -47,36 +45,11 @@ def sigmoid(margin) -> Column:
     return 1.0 / (1.0 + F.exp(-_c(margin)))
 
 
-def complement(p) -> Column:
-    """F8: 1 - p."""
-    return F.lit(1.0) - _c(p)
-
-
 def threshold(p, cut: float = 0.5) -> Column:
     """P10: probability → 0/1 label."""
     return (_c(p) >= cut).cast("int")
 
 
-def strip_brackets(text) -> Column:
-    """drop list brackets from a rendered list."""
-    return F.translate(_c(text), "[]", "")
-
-
 def word_tokens(text, min_len: int = 2) -> Column:
-    """Lower-case word tokens of ``min_len``+ characters (1 or 2)."""
-    pattern = TOKEN_PATTERN if min_len == 2 else TOKEN_PATTERN_MIN1
-    return F.regexp_extract_all(F.lower(_c(text)), F.lit(pattern), 0)
-
-
-def pad_tail(arr, maxlen: int = 50, value: int = 0) -> Column:
-    """Keep the last ``maxlen`` elements, left-pad with ``value``."""
-    a = _c(arr)
-    n = F.size(a)
-    kept = F.when(n > maxlen, F.slice(a, n - maxlen + 1, maxlen)).otherwise(a)
-    pad = F.array_repeat(F.lit(value), F.greatest(F.lit(maxlen) - n, F.lit(0)))
-    return F.concat(pad, kept)
-
-
-def frequency_order(count_col: str = "cnt", key_col: str = "token"):
-    """W2 ordering: most frequent first, ties by key."""
-    return [F.col(count_col).desc(), F.col(key_col).asc()]
+    """Lower-case word tokens of ``min_len`` or more characters."""
+    return F.regexp_extract_all(F.lower(_c(text)), F.lit(TOKEN_PATTERN % min_len), 0)

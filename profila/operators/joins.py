@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 def broadcast_bounded(df: DataFrame, bound_rows: int, max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast ``df`` whose row count is at most ``bound_rows`` by
-    construction.  Refuses bounds that could not fit an executor."""
+    construction.  Raises for bounds that could not fit an executor."""
     if bound_rows > max_rows:
-        return df
+        raise ValueError(f"a side of up to {bound_rows} rows is not bounded enough to broadcast")
     return F.broadcast(df)
 
 

@@ -30,14 +30,6 @@ def distinct_app_tags(events: DataFrame) -> DataFrame:
             .agg(F.min("date").alias("first_date")))
 
 
-def active_sequence(events: DataFrame) -> DataFrame:
-    """A9 (+P5, O1): active events in (date, event_id, app_id) order →
-    ``(device_id, pos, app_id, date)``."""
-    act = events.where((F.col("is_active") == 1) & F.col("device_id").isNotNull()) \
-        .select("device_id", "date", "event_id", "app_id")
-    return group_positions(act, "device_id", ["date", "event_id", "app_id"])
-
-
 def first_use_sequence(triples: DataFrame) -> DataFrame:
     """A10: the device's distinct (app, tag list) entries ordered by first
     date, then app, then tag list → ``(device_id, pos, app_id)``."""
@@ -52,8 +44,3 @@ def bounded_list(seq: DataFrame, group: str, value: str, pos: str = "pos", name:
     return (seq.groupBy(group)
             .agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos), F.col(value)))),
                              lambda s: s[value]).alias(name)))
-
-
-def joined_text(items_col: str, sep: str = ",") -> F.Column:
-    """list → delimited text."""
-    return F.array_join(F.col(items_col).cast("array<string>"), sep)

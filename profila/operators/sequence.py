@@ -47,7 +47,9 @@ def group_positions(df: DataFrame, group: str, order: list, name: str = "pos") -
     """1-based position inside ``group`` in ``order``: global position minus
     the group's first position (a partial ``min`` per group)."""
     ranked = global_row_number(df, [group, *order], "_gpos")
-    first = ranked.groupBy(group).agg(F.min("_gpos").alias("_first"))
+    # written first, one row per group: joined as a plain side, so AQE can
+    # split the rows of a hot group
+    first = durable(ranked.groupBy(group).agg(F.min("_gpos").alias("_first")))
     # positions are read by several branches (n-gram self-joins, tails):
     # written once
     return durable(ranked.join(first, group, "inner")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import word_tokens
+from ..session import durable
 from .sequence import global_row_number, group_positions
 
 
@@ -36,25 +37,24 @@ def document_frequency(tf: DataFrame, group: str) -> DataFrame:
     return tf.groupBy("term").agg(F.count(F.lit(1)).cast("long").alias("df"))
 
 
-def tfidf(tf: DataFrame, group: str, n_docs=None) -> DataFrame:
+def tfidf(tf: DataFrame, group: str, n_docs=None, written: bool = False) -> DataFrame:
     """``(group, term, tf, tfidf)`` with smooth idf + 1 and L2 norm.
     ``n_docs`` (int or Column, e.g. a scalar subquery) defaults to the
-    number of documents present in ``tf``."""
+    number of documents present in ``tf``; ``written``: tf is a table."""
+    tf = tf if written else durable(tf)  # read by the frequency, the norm and the result
     df_ = document_frequency(tf, group)
     if n_docs is None:
         n_docs = tf.select(group).distinct().agg(F.count(F.lit(1))).scalar()
-    idf = df_.select("term", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
+    # both aggregated sides are written before they are joined: a side that
+    # arrives grouped on the join key keeps AQE from splitting a hot term or
+    # a hot document
+    idf = durable(df_.select("term", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf")))
     raw = tf.join(idf, "term", "inner").withColumn("_w", F.col("tf") * F.col("idf"))
-    norm = raw.groupBy(group).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
+    norm = durable(raw.groupBy(group).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm")))
     return (raw.join(norm, group, "inner")
             .select(F.col(group), "term", "tf", (F.col("_w") / F.col("_norm")).alias("tfidf")))
 
 
-def binarize(tf: DataFrame) -> DataFrame:
-    """Presence (0/1) of each term."""
-    return tf.withColumn("tf", (F.col("tf") > 0).cast("long"))
-
-
 def vocabulary(tf: DataFrame, prefix: str = "") -> DataFrame:
     """Term → 0-based column index in alphabetical order (the vectoriser's
     convention), numbered with a distributed global row number."""
@@ -75,7 +75,7 @@ def padded_sequence(seq: DataFrame, group: str, token: str, ranks: DataFrame, ma
     length ``maxlen``.  Only ≤ maxlen rows per group are collected."""
     coded = seq.join(ranks.select(F.col("token").alias(token), "rank"), token, "inner")
     coded = group_positions(coded.select(group, "pos", "rank"), group, ["pos"], "_k")
-    length = coded.groupBy(group).agg(F.max("_k").alias("_n"))
+    length = durable(coded.groupBy(group).agg(F.max("_k").alias("_n")))  # a plain side, so AQE can split a hot group
     tail = coded.join(length, group).where(F.col("_k") > F.col("_n") - maxlen)
     arr = tail.groupBy(group).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_k", F.col("rank").cast("int").alias("r")))),

@@ -39,7 +39,7 @@ def count_tfidf_blocks(tf: DataFrame, name: str, n_docs, group: str = "device_id
     term counts feed three branches (counts, document frequency, tf-idf),
     so they are written once."""
     tf = durable(tf)
-    w = tfidf(tf, group, n_docs)
+    w = tfidf(tf, group, n_docs, written=True)
     return [(f"c{name}", tf, "tf"), (f"t{name}", w, "tfidf")]
 
 

@@ -181,10 +181,10 @@ def triples_sql() -> str:
 
 
 def triple_tfidf_sql(column: str) -> str:
-    return _with(APP_EVENTS, TRIPLES, f"""tok as (
+    return _with(APP_EVENTS, DEVICES, TRIPLES, f"""tok as (
   select device_id, unnest(regexp_extract_all(lower(cast({column} as varchar)), '\\b\\w\\w+\\b')) term from tri)""",
                  """tf as (select device_id, term, count(*) tf from tok group by device_id, term)""",
-                 """nd as (select count(distinct device_id) n from tri)""",
+                 """nd as (select count(distinct device_id) n from devices)""",
                  """dfs as (select term, count(*) df from tf group by term)""",
                  """w as (select tf.device_id, tf.term, tf.tf, tf.tf*(ln((1+nd.n)/(1+dfs.df))+1) w
   from tf join dfs on tf.term=dfs.term cross join nd)""") + """select device_id, term, cast(tf as bigint) tf,

@@ -71,7 +71,7 @@ def nn_stack(events: DataFrame, devs: DataFrame, rows: DataFrame) -> DataFrame:
     seqs = durable(sequence_tokens(events, devs))
     w2v = fit_word2vec(seqs.where(F.size("tokens") > 0))
     data = device_vectors(w2v, seqs).join(rows, "device_id").select("device_id", "features", "label", "fold")
-    out = oof_stack(data, mlp(), "nn")
+    out = oof_stack(data, mlp(), "nn", round_output=False)  # the network's output is not rounded
     return out.select("device_id", F.col("nn_clf_1").alias("nn_sex_1"), F.col("nn_clf_0").alias("nn_sex_0"))
 
 

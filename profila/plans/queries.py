@@ -121,7 +121,8 @@ def _triple_tfidf(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
     triples = L.distinct_app_tags(app_events(spark, sf_dir))
     text = F.col(column).cast("string")
     tf = TX.term_counts(triples, "device_id", text)
-    n_docs = triples.select("device_id").distinct().agg(F.count(F.lit(1))).scalar()
+    # every device is a document, also one without events
+    n_docs = devices(spark, sf_dir).select("device_id").distinct().agg(F.count(F.lit(1))).scalar()
     return _round_doubles(TX.tfidf(tf, "device_id", n_docs))
 
 
@@ -307,7 +308,7 @@ def q_gender_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     features; unlabelled devices get the K-model mean and a 0/1 label."""
     devs, folds, base = _base_models(spark, sf_dir)
     data, cols = _model_table(base, folds, "gender", NOT_FEATURES)
-    oof, test, imp, _ = gbt_oof(data, "classification", cols, max_iter=30)
+    oof, test, imp, _ = gbt_oof(data, "classification", cols)
     return test.select("device_id", F.bround("s", 6).alias("gender_prob"), threshold("s").alias("gender"))
 
 
@@ -315,7 +316,7 @@ def q_gender_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M17 + A15: mean gain importance over folds, top 10."""
     devs, folds, base = _base_models(spark, sf_dir)
     data, cols = _model_table(base, folds, "gender", NOT_FEATURES)
-    _, _, imp, _ = gbt_oof(data, "classification", cols, max_iter=30)
+    _, _, imp, _ = gbt_oof(data, "classification", cols)
     return MT.top_importances(imp)
 
 
@@ -324,20 +325,20 @@ def q_age_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     devices and the predicted gender of the others."""
     devs, folds, base = _base_models(spark, sf_dir)
     gdata, gcols = _model_table(base, folds, "gender", NOT_FEATURES)
-    _, g_test, _, _ = gbt_oof(gdata, "classification", gcols, max_iter=30)
+    _, g_test, _, _ = gbt_oof(gdata, "classification", gcols)
     chained = (base.join(g_test.select("device_id", threshold("s").alias("_gp")), "device_id", "left")
                .withColumn("gender", F.when(F.col("is_train") == 1, F.col("gender")).otherwise(F.col("_gp")))
                .drop("_gp"))
     afolds = durable(assign_folds(devs.where("is_train = 1"), "age"))
     adata, acols = _model_table(chained, afolds, "age", NOT_AGE_FEATURES)
-    _, a_test, _, _ = gbt_oof(adata, "regression", acols, max_iter=30)
+    _, a_test, _, _ = gbt_oof(adata, "regression", acols)
     return a_test.select("device_id", F.round("s", 6).alias("age"))
 
 
 def q_device_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run: every stack, both boosted models, the result table
     (one row per raw unlabelled device row)."""
-    prof = device_profile(devices(spark, sf_dir, dedup=False), app_events(spark, sf_dir), gbt_rounds=30)
+    prof = device_profile(devices(spark, sf_dir, dedup=False), app_events(spark, sf_dir))
     return prof.result
 
 
@@ -424,7 +425,7 @@ def q_embedding_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M15 on dense vectors (label % 2): held-out probabilities."""
     data = _embedding_rows(spark, sf_dir, 2)
     names = [f"e{i}" for i in range(64)]
-    oof, _, _, _ = gbt_oof(data, "classification", names, max_iter=20)
+    oof, _, _, _ = gbt_oof(data, "classification", names)
     return oof.select(F.col("device_id").alias("vec_id"), "fold", F.bround("s", 6).alias("p1"))
 
 

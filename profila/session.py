@@ -51,10 +51,8 @@ def build_session(master: str | None = None, app_name: str = "profila",
 def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of BASE_CONF to an existing session."""
     for key, value in BASE_CONF.items():
-        try:
+        if spark.conf.isModifiable(key):  # static settings stay as the session was built
             spark.conf.set(key, value)
-        except Exception:  # static conf on a session we did not build
-            pass
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -17,15 +17,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least the cluster's parallelism before CPU-heavy row
-    work (tokenising, JSON parsing).  A large table already arrives in many
-    splits and is returned untouched; a table stored as one big row group
-    is round-robin repartitioned so the work is not done by one task."""
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table, spread
+from .tables import read_table
 
 # Fixed values of the mapping (must equal the oracle's view text):
 #   app id           = props.k
@@ -44,7 +44,7 @@ def _app_tags(app: Column) -> Column:
 def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The app-event log (U1: one table holds both labelled and unlabelled
     devices' events)."""
-    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props"))
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     app = F.get_json_object("props", "$.k").cast("int")
     return (ev.select(
         F.col("event_id"),
@@ -78,8 +78,8 @@ def retail_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A retail-size event log with the same schema as ``app_events``:
     device = customer, event = order, app = part, tags = part attributes.
     (l_orderkey, l_linenumber) is not unique, so event ids repeat."""
-    li = spread(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linestatus", "l_returnflag", "l_shipdate"))
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linestatus", "l_returnflag", "l_shipdate")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     pt = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_name")
     j = (li.join(od, li.l_orderkey == od.o_orderkey, "inner")
@@ -97,7 +97,7 @@ def retail_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_tokens_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their labels: doc = device, text = list,
     quality = binary label, is_train = labelled."""
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     return docs.join(lab, "doc_id", "left").select(
         F.col("doc_id").alias("device_id"), "text", "n_chars",
