@@ -1,7 +1,8 @@
 """Run the whole device profile as a Spark job.
 
-    spark-submit -m profila --tables /data/sf      --out /data/result   # driver-table layout
-    spark-submit -m profila --csv    /data/xfdata/ --out /data/result   # train.csv, test.csv, *_app_events.csv
+    zip -qr profila.zip profila
+    spark-submit --py-files profila.zip run_profile.py --tables /data/sf  --out /data/result   # parquet tables
+    spark-submit --py-files profila.zip run_profile.py --csv    /data/csv --out /data/result   # train.csv, test.csv, *_app_events.csv
 
 Writes ``device_id, gender, age`` (one row per raw unlabelled row) as a
 header CSV, optionally the stage artefacts, and prints the fold scores.
@@ -12,6 +13,7 @@ from __future__ import annotations
 import argparse
 import json
 
+from .operators.boost import ROUNDS
 from .plans.profile import device_profile, report
 from .session import build_session
 from .sources import app_events, devices, read_device_csv, read_event_csv, write_result
@@ -26,7 +28,7 @@ def main(argv=None) -> None:
     ap.add_argument("--artefacts", help="folder for stage artefacts (parquet, keyed by device_id)")
     ap.add_argument("--master", help="e.g. local[8]; omit under spark-submit")
     ap.add_argument("--folds", type=int, default=5)
-    ap.add_argument("--rounds", type=int, default=60, help="boosting rounds per fold before best-round selection")
+    ap.add_argument("--rounds", type=int, default=ROUNDS, help="boosting rounds per fold before best-round selection")
     ap.add_argument("--no-nn", action="store_true", help="skip the Word2Vec + MLP stack")
     a = ap.parse_args(argv)
     parts = None
