@@ -384,3 +384,37 @@ def document_nb_sql() -> str:
     rows = """nbrows as (select d.doc_id device_id, l.quality label, f.fold
   from documents d left join labels l on d.doc_id=l.doc_id left join dfolds f on d.doc_id=f.device_id)"""
     return nb_sql("multinomial", "doc_mnb", [DOC_TOKENS, DOC_TF, DOC_N, idf, w, mat, dfolds, rows], key="doc_id")
+
+
+# ---------------------------------------------------------------- the end-to-end path with closed-form models
+def model_matrix_gender_sql() -> str:
+    return f"""select f.* exclude (gender, age, is_train), m.* exclude (device_id), b.* exclude (device_id)
+from ({device_features_sql()}) f
+left join ({nb_stack_sql("multinomial", "tfidf_mnb")}) m on m.device_id=f.device_id
+left join ({nb_stack_sql("bernoulli", "tfidf_bnb")}) b on b.device_id=f.device_id"""
+
+
+def _gender_pred() -> str:
+    return f"""(select device_id, cast(tfidf_mnb_clf_1>=0.5 as int) gender_pred from ({nb_stack_sql("multinomial", "tfidf_mnb")}))"""
+
+
+def chained_gender_sql() -> str:
+    return _with(DEVICES) + f"""select d.device_id, d.phone_brand, d.device_model, d.is_train,
+  case when d.is_train=1 then d.gender else p.gender_pred end gender
+from devices d left join {_gender_pred()} p on p.device_id=d.device_id"""
+
+
+def result_join_sql() -> str:
+    return _with(DEVICES, AGE_FOLDS, _enc("phone_brand", "age", "age_folds"), """raw as (
+  select device_id from devices where is_train=0 union all
+  select device_id from devices where is_train=0 and device_id%2=0)""") + f"""select r.device_id, p.gender_pred gender,
+  round(e.phone_brand_age_kfold_mean, 6) age
+from raw r left join {_gender_pred()} p on p.device_id=r.device_id
+left join enc_phone_brand e on e.device_id=r.device_id"""
+
+
+def best_log_loss_sql() -> str:
+    return _with(DEVICES, FOLDS, _enc("phone_brand"), _enc_train("gender", "folds"), """per as (
+  select fold, r, avg(-(label*ln(1/(1+exp(-(p-0.5)*r))) + (1-label)*ln(1-1/(1+exp(-(p-0.5)*r))))) loss
+  from t, range(1, 9) rounds(r) group by fold, r)""") + """select fold,
+  round(min(loss),6) best_log_loss, round(min(loss),6) best_log_loss_0 from per group by fold"""
