@@ -19,7 +19,7 @@ from .sequence import group_positions
 def event_app_sequence(events: DataFrame) -> DataFrame:
     """Every event's app in event order → ``(device_id, pos, app_id)``."""
     ev = events.where(F.col("device_id").isNotNull()).select("device_id", "event_id", "app_id")
-    return group_positions(ev, "device_id", ["event_id", "app_id"]).select("device_id", "pos", "app_id")
+    return group_positions(ev, "device_id", ["event_id", "app_id"], write=False).select("device_id", "pos", "app_id")
 
 
 def distinct_app_tags(events: DataFrame) -> DataFrame:

@@ -7,8 +7,7 @@ partition's offset: the offsets come from a per-partition count table with
 one row per partition, which is broadcast (bounded by the partition count).
 
 Positions are consecutive inside every group that leads the order key, so
-neighbours in a sequence are found by an equi-join on ``(group, pos + 1)``,
-whose keys are unique and therefore never skewed.
+neighbours in a sequence are found inside blocks of positions.
 """
 
 from __future__ import annotations
@@ -43,30 +42,43 @@ def global_row_number(df: DataFrame, order: list, name: str = "pos",
             .drop("_pid", "_mid", "_off"))
 
 
-def group_positions(df: DataFrame, group: str, order: list, name: str = "pos") -> DataFrame:
+def group_positions(df: DataFrame, group: str, order: list, name: str = "pos", write: bool = True) -> DataFrame:
     """1-based position inside ``group`` in ``order``: global position minus
-    the group's first position (a partial ``min`` per group)."""
+    the group's first position (a partial ``min`` per group).  ``write``: the
+    positions have several readers and are written once."""
     ranked = global_row_number(df, [group, *order], "_gpos")
     # written first, one row per group: joined as a plain side, so AQE can
     # split the rows of a hot group
     first = durable(ranked.groupBy(group).agg(F.min("_gpos").alias("_first")))
-    # positions are read by several branches (n-gram self-joins, tails):
-    # written once
-    return durable(ranked.join(first, group, "inner")
-                   .withColumn(name, F.col("_gpos") - F.col("_first") + 1)
-                   .drop("_gpos", "_first"))
+    out = (ranked.join(first, group, "inner")
+           .withColumn(name, F.col("_gpos") - F.col("_first") + 1)
+           .drop("_gpos", "_first"))
+    return durable(out) if write else out
+
+
+BLOCK = 4096
 
 
 def ngrams(seq: DataFrame, group: str, token: str, n_max: int = 3, pos: str = "pos",
            sep: str = " ") -> DataFrame:
     """T4 over a positioned token sequence: ``(group, term)`` rows for every
-    1..n_max-gram of consecutive positions (one row per occurrence)."""
-    base = seq.select(F.col(group), F.col(pos).alias("_p0"), F.col(token).alias("_t0"))
-    out = base.select(group, F.col("_t0").alias("term"))
-    joined = base
+    1..n_max-gram of consecutive positions (one row per occurrence).
+
+    A group is cut into blocks of ``BLOCK`` positions, and the first n_max − 1
+    rows of a block are copied to the end of the one before, so the next
+    tokens are ``lead`` values inside a block: one shuffle, in which a hot
+    group is many blocks."""
+    block = F.floor((F.col(pos) - 1) / BLOCK)
+    own = F.struct(block.alias("b"), F.lit(False).alias("copy"))
+    back = F.struct((block - 1).alias("b"), F.lit(True).alias("copy"))
+    near = ((F.col(pos) - 1) % BLOCK < n_max - 1) & (block > 0)
+    rows = seq.select(F.col(group), F.col(pos).alias("_p"), F.col(token).alias("_t"),
+                      F.explode(F.when(near, F.array(own, back)).otherwise(F.array(own))).alias("_b"))
+    w = Window.partitionBy(group, "_b.b").orderBy("_p")
+    ahead = rows.select(group, "_b", "_t", *(F.lead("_t", k).over(w).alias(f"_t{k}") for k in range(1, n_max)))
+    grams, parts = [F.col("_t")], [F.col("_t")]
     for k in range(1, n_max):
-        nxt = seq.select(F.col(group), (F.col(pos) - k).alias(f"_p0"), F.col(token).alias(f"_t{k}"))
-        joined = joined.join(nxt, [group, "_p0"], "inner")
-        parts = [F.col(f"_t{i}") for i in range(k + 1)]
-        out = out.unionByName(joined.select(group, F.concat_ws(sep, *parts).alias("term")))
-    return out
+        parts = [*parts, F.col(f"_t{k}")]
+        grams.append(F.when(F.col(f"_t{k}").isNotNull(), F.concat_ws(sep, *parts)))
+    return (ahead.where(~F.col("_b.copy")).select(group, F.explode(F.array(*grams)).alias("term"))
+            .where(F.col("term").isNotNull()))

@@ -1,8 +1,8 @@
 """The shared device feature table (M19's 22 common inputs before stacks).
 
 devices (D1, U2) ⟕ A1+F2+F3+A2 ⟕ A4+A6 ⟕ M1, all keyed by device_id.
-The event log is read twice (once for the device aggregates, once for the
-(device, app) counts); each read is pruned to the columns it needs.
+The event log is read twice: once summed by (device, app, date), which feeds
+everything but the distinct event ids, and once for those, two columns wide.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators.encode import kfold_target_encode
-from ..operators.events import app_usage_features, device_event_aggregates
+from ..operators.events import app_usage_features, device_event_aggregates, log_groups
 from ..operators.folds import assign_folds
 from ..operators.joins import attach
 from ..session import durable
@@ -31,8 +31,9 @@ def device_feature_table(devs: DataFrame, events: DataFrame, folds: DataFrame |
     (as is the fold table) instead of being re-derived, with its dedup
     shuffle, in every branch."""
     devs = durable(devs)
-    aggs = device_event_aggregates(events, with_tri_day=True)
-    usage = app_usage_features(events)
+    groups = log_groups(events)
+    aggs = device_event_aggregates(events, with_tri_day=True, groups=groups)
+    usage = app_usage_features(events, groups=groups)
     parts = [aggs, usage]
     if encode:
         folds = durable(folds if folds is not None else gender_folds(devs))

@@ -142,7 +142,7 @@ def active_terms(events: DataFrame, devs: DataFrame, n_max: int = 3) -> DataFram
     act = (events.where((F.col("is_active") == 1) & F.col("device_id").isNotNull())
            .select("device_id", "date", "event_id", "app_id",
                    F.explode(word_tokens(F.col("app_id").cast("string"))).alias("tok")))
-    seq = S.group_positions(act, "device_id", ["date", "event_id", "app_id"])
+    seq = S.group_positions(act, "device_id", ["date", "event_id", "app_id"], write=False)
     grams = S.ngrams(seq, "device_id", "tok", n_max)
     # devices with at least one active event, one row each (partial aggregation
     # before the shuffle, so a device with a huge log is no join hot spot)

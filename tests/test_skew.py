@@ -58,6 +58,14 @@ def test_positions_and_bigrams_under_skew(spark):
     assert got == want
 
 
+def test_ngrams_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(S, "BLOCK", 4)
+    toks = {0: [f"t{i % 5}" for i in range(23)], 1: ["a"], 2: ["a", "b"], 3: [f"u{i}" for i in range(8)]}
+    df = spark.createDataFrame([(g, p, t) for g, ts in toks.items() for p, t in enumerate(ts, 1)], "g int, pos long, tok string")
+    got = sorted((r.g, r.term) for r in S.ngrams(df, "g", "tok", 3).collect())
+    assert got == sorted((g, " ".join(ts[i:i + n])) for g, ts in toks.items() for n in (1, 2, 3) for i in range(len(ts) - n + 1))
+
+
 # ---------------------------------------------------------------- splits in the executed plan
 
 SKEW_CONF = {
