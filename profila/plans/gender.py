@@ -30,6 +30,11 @@ SG_KS = (5, 10, 19, 30, 40, 50, 60, 70)
 AC_KS = (5, 10, 19, 30)
 
 
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """A stage output as a table of this run."""
+    return durable(df)
+
+
 def stack_rows(devs: DataFrame, folds: DataFrame, label: str = "gender") -> DataFrame:
     """(device_id, label, fold) for every device; fold NULL when unlabelled."""
     return (devs.select("device_id", F.col(label).alias("label"), "is_train").distinct()
@@ -39,20 +44,21 @@ def stack_rows(devs: DataFrame, folds: DataFrame, label: str = "gender") -> Data
 
 
 def learner_stacks(mat: Matrix, rows: DataFrame, learners: dict, prefix: str, nb: bool = True,
-                   ks=(), kmeans_prefix: str = "", workers: int = 4) -> DataFrame:
+                   ks=(), kmeans_prefix: str = "", workers: int = 4, save=write_table) -> DataFrame:
     """All stack outputs over one matrix, joined by device_id.  The learners
     are independent, so their fits are submitted concurrently and each
-    output is written once."""
+    family's output is written once, by ``save(df, name)``."""
     data = durable(mat.vectors(rows))
-    tasks = {name: (lambda make=make, name=name: durable(oof_stack(data, make(), f"{prefix}_{name}")))
+    tasks = {name: (lambda make=make, name=name: save(oof_stack(data, make(), f"{prefix}_{name}"), f"{prefix}_{name}"))
              for name, make in learners.items()}
     if nb:
         nb_rows = rows.withColumn("label", F.col("label").cast("int"))
         for kind, tag in (("bernoulli", "bnb"), ("multinomial", "mnb")):
-            tasks[tag] = (lambda kind=kind, tag=tag: durable(
-                oof_naive_bayes(mat.cells, nb_rows, mat.n_cols, kind, prefix=f"{prefix}_{tag}")))
+            tasks[tag] = (lambda kind=kind, tag=tag: save(
+                oof_naive_bayes(mat.cells, nb_rows, mat.n_cols, kind, prefix=f"{prefix}_{tag}"), f"{prefix}_{tag}"))
     if ks:
-        tasks["kmeans"] = lambda: durable(kmeans_features(data.select("device_id", "features"), ks, kmeans_prefix))
+        tasks["kmeans"] = lambda: save(kmeans_features(data.select("device_id", "features"), ks, kmeans_prefix),
+                                       f"{prefix}_kmeans")
     parts = run_concurrently(tasks, workers)
     return attach(rows.select("device_id"), list(parts.values()))
 
@@ -76,16 +82,16 @@ def nn_stack(events: DataFrame, devs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def gender_stacks(events: DataFrame, devs: DataFrame, folds: DataFrame, nn: bool = True,
-                  sg_ks=SG_KS, ac_ks=AC_KS, workers: int = 3) -> DataFrame:
+                  sg_ks=SG_KS, ac_ks=AC_KS, workers: int = 3, mat: Matrix | None = None, save=write_table) -> DataFrame:
+    mat = mat or app_tag_matrix(events, devs).materialize()
     rows = durable(stack_rows(devs, folds))
     tasks = {
-        "sg": lambda: durable(learner_stacks(app_tag_matrix(events, devs).materialize(), rows,
-                                             LN.GENDER_LEARNERS, "tfidf", ks=sg_ks, kmeans_prefix="kmeansword_")),
-        "ac": lambda: durable(learner_stacks(active_matrix(events, devs).materialize(), rows,
-                                             LN.AC_GENDER_LEARNERS, "ac_tfidf", ks=ac_ks,
-                                             kmeans_prefix="kmeansac_word_")),
+        "sg": lambda: learner_stacks(mat, rows, LN.GENDER_LEARNERS, "tfidf", ks=sg_ks,
+                                     kmeans_prefix="kmeansword_", save=save),
+        "ac": lambda: learner_stacks(active_matrix(events, devs).materialize(), rows, LN.AC_GENDER_LEARNERS,
+                                     "ac_tfidf", ks=ac_ks, kmeans_prefix="kmeansac_word_", save=save),
     }
     if nn:
-        tasks["nn"] = lambda: durable(nn_stack(events, devs, rows))
+        tasks["nn"] = lambda: save(nn_stack(events, devs, rows), "nn")
     parts = run_concurrently(tasks, workers)
     return attach(rows.select("device_id"), [parts[k] for k in tasks])
