@@ -42,7 +42,7 @@ from .common import prepare, read
 
 SIMILARITY = 0.8
 RECALL = 0.99
-BLOCK_ITEMS = 20_000
+BLOCK_ITEMS = 10_000
 TABLES_A_WALK = 8
 SAMPLED = 3
 MAX_WALKS = 24
@@ -111,6 +111,7 @@ class Index:
                     found[n] |= own[2] == keys
             if sum(f.sum() for f in found.values()) >= recall * len(self.ids):
                 break
+        self.tables = {n: [t[:2] for t in tables] for n, tables in self.tables.items()}  # as sent to the tasks
 
     def _edit(self, item: np.ndarray, n: int, seed: int) -> np.ndarray:
         """The item's window after its whole budget of random edits."""
@@ -202,7 +203,7 @@ class Index:
                 view = padded[part[:, None] + np.arange(n)]
                 for walk in range(len(self.walks)):
                     for t, keys in enumerate(self._keys(view, walk)):
-                        known, of, _ = self.tables[n][walk * TABLES_A_WALK + t]
+                        known, of = self.tables[n][walk * TABLES_A_WALK + t]
                         left, right = np.searchsorted(known, keys, "left"), np.searchsorted(known, keys, "right")
                         for w in np.flatnonzero(right > left):
                             found.update((int(k), int(part[w])) for k in of[left[w]:right[w]])

@@ -130,11 +130,12 @@ class Scanner:
                     found.append((name, len(pairs) / n, a, b))
                     behind = b
         found.sort(key=lambda f: (-f[1], f[2] - f[3], f[0], f[2]))
-        kept: list = []
+        kept: list = []  # by place; none overlap, so only the neighbours matter
         for f in found:
-            if all(f[3] <= k[2] or f[2] >= k[3] for k in kept):
-                kept.append(f)
-        return sorted(kept, key=lambda f: f[2:])
+            i = bisect_left(kept, (f[2], f[3]), key=lambda k: k[2:])
+            if (i == 0 or kept[i - 1][3] <= f[2]) and (i == len(kept) or kept[i][2] >= f[3]):
+                kept.insert(i, f)
+        return kept
 
     def scan(self, texts: list[str | None]) -> list[list[dict]]:
         get, out = self.number.get, []
