@@ -21,6 +21,8 @@ BASE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # independent fits are submitted side by side; none waits for all others
+    "spark.scheduler.mode": "FAIR",
 }
 
 
