@@ -378,9 +378,13 @@ def q_encoding_age_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _doc_matrix(spark, sf_dir):
     docs = document_tokens_source(spark, sf_dir)
-    rows = docs.select("device_id")
-    n = rows.agg(F.count(F.lit(1))).scalar()
-    tf = TX.term_counts(docs, "device_id", "text")
+    texts = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("device_id"), "text")
+    n = texts.agg(F.count(F.lit(1))).scalar()
+    # texts are dealt out by document before they are tokenised: the counts by
+    # (document, term) then need no shuffle of their own, which would move more
+    # bytes than the texts
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tf = TX.term_counts(texts.repartition(n_parts, "device_id"), "device_id", "text")
     return docs, tf, n
 
 
