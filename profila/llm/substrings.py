@@ -8,9 +8,11 @@ Chunks are deduplicated by a 64-bit digest: one that occurs in more than one
 document stays in the document of the smallest id and is a copy in the others.
 
 Neighbouring repeated chunks form a run; runs of at least ``min_words`` (25)
-words are reported.  A passage repeated word for word loses part of a chunk at
-either end, so a passage of over 50 words makes such a run, while a shared
-line or phrase does not (chunks across its ends are not repeated).
+words are reported, in ``parts``: a part ends where chunks that stay meet
+chunks that are copies, so every chunk stays in its first document.  A passage
+repeated word for word loses part of a chunk at either end, so a passage of
+over 50 words makes such a run, while a shared line or phrase does not (chunks
+across its ends are not repeated).
 
 Texts are chunked where they are read; only (digest, text's hash, place) rows,
 three longs, are shuffled, once.  A stream sorted by digest hands on the chunks
@@ -146,8 +148,8 @@ def _shared(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (digest, rid, place)], ["digest", "rid", "place"])
 
 
-def _runs(min_words: int):
-    """Runs of neighbouring chunks in a stream sorted by (rid, place)."""
+def _runs(min_words: int, split: bool):
+    """Runs of neighbouring chunks, or their parts, in a stream sorted by (rid, place)."""
     names = ["rid", "place", "key", "first", "doc_id"]
 
     def close(rows):
@@ -155,11 +157,12 @@ def _runs(min_words: int):
         start, length, words = place >> 16, place >> 8 & 0xFF, place & 0xFF
         again = np.append(False, (rid[1:] == rid[:-1]) & (place[1:] == place[:-1]))  # of a repeated row
         new = np.append(True, (rid[1:] != rid[:-1]) | ~again[1:] & (start[1:] != (start + length)[:-1]))
-        at = np.flatnonzero(new)
-        total = np.add.reduceat(np.where(again, 0, words), at)
-        count = np.add.reduceat((~again).astype(np.int64), at)
+        own = first == key
+        at = np.flatnonzero(new | split & np.append(True, own[1:] != own[:-1]))  # a part stays or is a copy as a whole
+        fresh = np.where(again, 0, words)
+        total, count = np.add.reduceat(fresh, at), np.add.reduceat((~again).astype(np.int64), at)
         low, high = np.minimum.reduceat(first, at), np.maximum.reduceat(start + length, at)
-        ok = total >= min_words
+        ok = np.add.reduceat(fresh, np.flatnonzero(new))[np.cumsum(new)[at] - 1] >= min_words  # of the whole run
         return pa.RecordBatch.from_arrays(
             [doc.take(pa.array(at[ok])), pa.array(start[at][ok].astype(np.int32)), pa.array(high[ok].astype(np.int32)),
              pa.array(total[ok].astype(np.int64)), pa.array(count[ok].astype(np.int64)), pa.array(low[ok] == key[at][ok]),
@@ -193,8 +196,20 @@ def chunked(docs: DataFrame) -> DataFrame:
 
 def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """One row for each repeated passage of a document: doc_id, start, end
-    (code points), words, chunks, kept (this document's stays) and first_doc
-    (the smallest id that holds part of it; null for documents without ids)."""
+    (code points), words, chunks, kept (all of it stays in this document; what
+    stays of the others is told by ``parts``) and first_doc (the smallest id
+    that holds part of it; null for documents without ids)."""
+    return _repeated(docs, min_words, False)
+
+
+def parts(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The rows of ``repeated``, cut where chunks that stay in this document
+    meet copies: kept holds for the whole part, and every chunk is kept in one
+    document; ``min_words`` is of the whole passage."""
+    return _repeated(docs, min_words, True)
+
+
+def _repeated(docs: DataFrame, min_words: int, split: bool) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -204,7 +219,7 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                      .mapInArrow(_shared, _CHUNK))
     first = durable(shared.join(rows.select("rid", "key"), "rid").groupBy("digest")
                     .agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("digest", "first"))
-    names, run = _runs(min_words)
+    names, run = _runs(min_words, split)
     placed = (shared.join(first, "digest").join(rows, "rid").select(*names)
               .repartition(partitions(spark), "rid").sortWithinPartitions("rid", "place"))
     out = placed.mapInArrow(run, "doc_id long, start int, end int, words long, chunks long, kept boolean, first_doc long")
@@ -212,4 +227,4 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return repeated(read(spark, sf_dir, "documents"))
+    return parts(read(spark, sf_dir, "documents"))

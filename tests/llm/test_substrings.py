@@ -98,3 +98,21 @@ def test_nulls_and_empty_table(spark):
     df = docs(spark, [(None, text, None), (None, None, "a"), (1, "", "a"), (4, text, "a"), (4, text, "a"), (2, None, "b")])
     got = sorted((str(r.doc_id), r.kept, r.first_doc) for r in B.repeated(df).collect())
     assert got == [("4", True, 4), ("None", False, 4)]
+
+
+def test_every_chunk_is_kept_in_one_document(spark):
+    rng = random.Random(6)
+    passage = " ".join(words(rng, 60, 100_000))
+    whole = "\n".join([" ".join(words(rng, 80, 100_000)), passage, " ".join(words(rng, 80, 100_000))])
+    rows = [(1, " ".join(words(rng, 40, 100_000)) + "\n" + passage, "s"), (2, whole, "s"), (3, whole, "s")]
+    texts, kept, seen = {i: t for i, t, _ in rows}, {}, {}
+    for r in B.parts(docs(spark, rows)).collect():
+        part = (len(texts[r.doc_id][:r.start].encode()), len(texts[r.doc_id][:r.end].encode()))
+        data = texts[r.doc_id].encode()
+        for s, e in plain_chunks(data):
+            if part[0] <= s and e <= part[1]:
+                seen.setdefault(data[s:e], set()).add(r.doc_id)
+                if r.kept:
+                    kept.setdefault(data[s:e], set()).add(r.doc_id)
+    assert {2, 3} <= set().union(*seen.values())
+    assert all(kept.get(c) == {min(i for i in texts if c in [texts[i].encode()[s:e] for s, e in plain_chunks(texts[i].encode())])} for c in seen)
