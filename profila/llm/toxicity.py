@@ -2,9 +2,11 @@
 
 A document is a bag of sentences.  A word is known by its most telling prefix
 (three to seven characters, or the whole word), and a sentence s scores
-p_s = σ(b + Σ w[f]) over its distinct prefixes f; the document's score is a leaky noisy-or, 1 − (1 − leak)·Π(1 − p_s): the leak
-takes up labels that no sentence explains, so that a long clean text does not
-become toxic by its length.  w, b and leak are trained from document labels
+p_s = σ(b + Σ w[f]) over its distinct prefixes f; the document's score is a
+leaky noisy-or, 1 − (1 − leak)·Π(1 − p_s): the leak takes up labels that no
+sentence explains.  Sentences without a known word take no part, and in scoring
+only those count whose words raise the log odds by ``LEAST`` (1) or more, so
+that a long clean text does not become toxic by its length.  w, b and leak are trained from document labels
 alone by the gradient of the document likelihood; the sentence scores then
 locate the offending sentences.
 
@@ -47,6 +49,7 @@ SENTENCE = re.compile(r"[^.!?\n]+")
 TOKEN = re.compile(r"\w+")
 THRESHOLD = 0.7
 LOCATE = 0.5  # z = 0
+LEAST = 1.0
 _START = -9.0
 _MEMO = 200_000
 
@@ -54,11 +57,13 @@ _MEMO = 200_000
 @dataclass
 class Model:
     """Prefixes, the most telling first, and their weights; sentence bias;
-    leak as −log(1 − leak)."""
+    leak as −log(1 − leak); the least sum of weights of a sentence that counts
+    (``LEAST`` in fitted models)."""
     number: dict[str, int] = field(default_factory=dict)
     weights: list[float] = field(default_factory=list)
     bias: float = -800.0
     leak: float = 0.0
+    least: float = -math.inf
 
 
 def prefixes(word: str) -> set[str]:
@@ -98,14 +103,17 @@ def score_text(text: str | None, model: Model, known: Known | None = None) -> tu
     """Document score and the offending sentences (start, end, p)."""
     known = Known(model.number) if known is None else known
     at, weights = known.__getitem__, model.weights
-    total, base, found = model.leak, math.log1p(math.exp(model.bias)), []
+    total, base, found = model.leak, math.log1p(math.exp(model.bias)) if model.least <= 0 else 0.0, []
     for start, end, words in sentences(text or ""):
         ids = set(map(at, words))
         ids.discard(-1)
         if not ids:
             total += base
             continue
-        z = model.bias + sum([weights[i] for i in ids])
+        lift = sum([weights[i] for i in ids])
+        if lift < model.least:
+            continue
+        z = model.bias + lift
         total += z + math.log1p(math.exp(-z)) if z > 0 else math.log1p(math.exp(z))
         if z >= 0:
             found.append((start, end, 1 / (1 + math.exp(-z))))
@@ -174,7 +182,7 @@ def _steps(pdf: pd.DataFrame, start: np.ndarray, prior: np.ndarray, steps: int,
     n_features = len(start) - 2
     feats = [np.asarray(s, np.int64) for doc in pdf["ids"] for s in doc]
     doc = np.repeat(np.arange(len(pdf)), [len(d) for d in pdf["ids"]])
-    plain, y = pdf["plain"].to_numpy(float), pdf["y"].to_numpy(float)
+    y = pdf["y"].to_numpy(float)
     sent = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
     at = np.concatenate(feats) if feats else np.empty(0, np.int64)
     theta, m, v = start.copy(), np.zeros_like(start), np.zeros_like(start)
@@ -183,12 +191,12 @@ def _steps(pdf: pd.DataFrame, start: np.ndarray, prior: np.ndarray, steps: int,
     for k in range(1, steps + 1):
         w, b, a = theta[:-2], theta[-2], theta[-1]
         z = b + np.bincount(sent, w[at], len(feats))
-        leak, rest = np.exp(a), np.logaddexp(0, b)
-        total = leak + plain * rest + np.bincount(doc, np.logaddexp(0, z), len(pdf))
+        leak = np.exp(a)
+        total = leak + np.bincount(doc, np.logaddexp(0, z), len(pdf))
         pull = np.where(y > 0, -1 / np.expm1(np.maximum(total, 1e-9)), 1.0)  # dNLL / dtotal
         g = pull[doc] / (1 + np.exp(-z)) if len(doc) else np.empty(0)
         grad = np.concatenate([np.bincount(at, g[sent], n_features) + l2 * (w - prior),
-                               [g.sum() + (pull * plain).sum() / (1 + np.exp(-b)), (pull * leak).sum()]])
+                               [g.sum(), (pull * leak).sum()]])
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
         theta = theta - pace * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.99 ** k)) + 1e-8)
         theta[-2] = min(theta[-2], _START)
@@ -221,16 +229,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, max_feature
               .select("word").collect())  # max_features rows at most
     number = {r.word: i for i, r in enumerate(chosen)}
 
-    @arrow_udf("struct<ids:array<array<int>>,plain:int>")
+    @arrow_udf("array<array<int>>")
     def coded(docs_words: pa.Array) -> pa.Array:
         known, out = Known(number), []
         for doc in docs_words.to_pylist():
             ids = [sorted(set(map(known.__getitem__, s)) - {-1}) for s in doc]
-            some = [s for s in ids if s]
-            out.append({"ids": some, "plain": len(ids) - len(some)})
-        return pa.array(out, pa.struct([("ids", pa.list_(pa.list_(pa.int32()))), ("plain", pa.int32())]))
+            out.append([s for s in ids if s])
+        return pa.array(out, pa.list_(pa.list_(pa.int32())))
 
-    table = durable(bags.select("shard", "y", coded("words").alias("c")).select("shard", "y", "c.ids", "c.plain"))
+    table = durable(bags.select("shard", "y", coded("words").alias("ids")))
     counts = (table.select("y", F.explode(F.array_distinct(F.flatten("ids"))).alias("i")).groupBy("i")
               .agg(F.count(F.lit(1)).alias("df"), F.sum("y").alias("hits")).collect())  # max_features rows at most
     odds = np.full(len(number), -1.0)
@@ -248,7 +255,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, max_feature
         new, by = (np.array([r[k] for r in parts]) for k in (0, 1))  # n_shards rows
         weight = by.sum(axis=0)
         theta = np.where(weight > 0, (new * by).sum(axis=0) / np.maximum(weight, 1), theta)
-    return Model(number, theta[:-2].tolist(), float(theta[-2]), float(np.exp(theta[-1])))
+    return Model(number, theta[:-2].tolist(), float(theta[-2]), float(np.exp(theta[-1])), LEAST)
 
 
 def classify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

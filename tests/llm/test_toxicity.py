@@ -80,3 +80,13 @@ def test_nulls_empty_tables_and_single_class(spark):
     assert all(0 <= r.score <= 1 for r in toxicity.classify(df, toxicity.fit(df, labels)).collect())
     empty = docs(spark, [])
     assert toxicity.classify(empty, toxicity.fit(empty, none)).count() == 0
+
+
+def test_clean_text_of_any_length_stays_clean(spark):
+    rows, labels = labelled(300)
+    model = toxicity.fit(docs(spark, rows), spark.createDataFrame(labels, LABELS))
+    clean = score_text("w1 w2 w3 w4.\n" * 100_000, model)[0]
+    assert clean < 0.7 and clean == score_text("w1 w2 w3 w4.", model)[0]
+    assert score_text("w1 w2.\n" * 100_000 + "you vile w3.", model)[0] >= 0.7
+    some = Model({"bad": 0, "even": 1, "good": 2}, [10.0, 0.1, -2.0], -9.0, 0.1, toxicity.LEAST)
+    assert score_text("even so.\ngood.\nplain.\n" * 100_000, some)[0] == score_text("", some)[0]
