@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, lines, mixing, neighbours, sanitise, sharding, simhash, substrings, toxicity
+from . import decontaminate, licenses, lines, mixing, neighbours, pieces, runs, sanitise, sharding, simhash, substrings, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_sanitisation": sanitise.query,
     "op9_substrings": substrings.query,
     "op10_simhash": simhash.query,
+    "op11_runs": runs.query,
+    "op12_pieces": pieces.query,
 }
 
 #: The others have no SQL: learned scores, edit distances, alignments and
@@ -22,4 +24,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_mixing": mixing.oracle_sql(),
     "op6_neighbours": neighbours.oracle_sql(),
+    "op11_runs": runs.oracle_sql(),
 }
