@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, lines, mixing, neighbours, pieces, runs, sanitise, sharding, simhash, substrings, toxicity
+from . import codes, decontaminate, licenses, lines, mixing, neighbours, pieces, runs, sanitise, sharding, simhash, substrings, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_simhash": simhash.query,
     "op11_runs": runs.query,
     "op12_pieces": pieces.query,
+    "op13_codes": codes.query,
 }
 
 #: The others have no SQL: learned scores, edit distances, alignments and
@@ -25,4 +26,5 @@ ORACLE_SQL = {
     "op3_mixing": mixing.oracle_sql(),
     "op6_neighbours": neighbours.oracle_sql(),
     "op11_runs": runs.oracle_sql(),
+    "op13_codes": codes.oracle_sql(),
 }

@@ -1,0 +1,96 @@
+"""Operator 13 against plain Lloyd rounds with full scans."""
+
+import random
+
+import numpy as np
+
+from profila.llm import codes as C
+
+
+def table(spark, rows, clash=False):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    if clash:
+        from pyspark.sql import functions as F
+        df = df.select("*", *(F.lit("x").alias(c) for c in ("v", "e", "code", "distance", "error", "l", "scanned")))
+    return df
+
+
+def plain(rows, parts, entries, rounds):
+    kept = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v], lab) for i, v, lab in rows
+            if v and not any(x is None or not np.isfinite(x) for x in v)]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    v = np.array([r[1] for r in kept])
+    w = v.shape[1] // parts
+    books = [v[:entries, p * w:(p + 1) * w].copy() for p in range(parts)]
+    for k in range(rounds + 1):
+        code, error = [], np.zeros(len(v), int)
+        for p in range(parts):
+            x = v[:, p * w:(p + 1) * w]
+            d = ((x[:, None] - books[p][None]) ** 2).sum(axis=2)
+            code.append(d.argmin(axis=1))
+            error += d.min(axis=1)
+            if k < rounds:
+                for e in set(code[p].tolist()):
+                    own = x[code[p] == e]
+                    books[p][e] = own.sum(axis=0) // len(own)
+    return sorted(zip([r[0] for r in kept], map(tuple, np.array(code).T.tolist()), error.tolist()), key=repr), np.array(books)
+
+
+def vectors(n=300, dim=8, seed=2):
+    """With ties, repeated vectors and rows, and rows that take no part."""
+    rng = random.Random(seed)
+    rows = [(i, [rng.choice([-1.0, -0.25, 0.0, 0.5, 2.0]) + rng.randrange(3) / 256 for _ in range(dim)], rng.choice([0, 1, None]))
+            for i in range(n)]
+    rows += [(n + i, rows[7][1], 0) for i in range(80)] + [rows[3], rows[3]]
+    rows += [(None, rows[9][1], None), (n + 200, None, 1), (n + 201, [None] * dim, 1), (n + 202, [float("nan")] * dim, 1),
+             (n + 203, [float("inf")] * dim, 1), (n + 204, [0.0] * dim, 1)]
+    return rows
+
+
+def test_equals_full_scans(spark):
+    for rounds in (0, 1, 2, 4):
+        rows = vectors(seed=rounds)
+        got = C.compress(table(spark, rows, clash=True), parts=4, entries=16, rounds=rounds)
+        want, books = plain(rows, 4, 16, rounds)
+        assert sorted(((r.vec_id, tuple(r.code), r.error) for r in got.rows.collect()), key=repr) == want
+        assert (got.codebooks == books).all()
+
+
+def test_rescan_equals_scan_and_keeps_ties():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        x, old = rng.integers(-3, 4, (50, 2)), rng.integers(-3, 4, (9, 2))
+        code, distance = C.scan(x, old)
+        new = np.where(rng.random((9, 1)) < 0.3, rng.integers(-3, 4, (9, 2)), old)
+        got = C.rescan(x, new, (new != old).any(axis=1), code, distance)
+        assert all((a == b).all() for a, b in zip(got, C.scan(x, new)))
+
+
+def test_active_entries_save_scans(spark):
+    rows = vectors(seed=5)
+    got = C.compress(table(spark, rows), parts=4, entries=16, rounds=6).rows
+    assert got.agg({"scanned": "avg"}).first()[0] < 4  # of 4 parts
+
+
+def test_large_numbers_are_exact():
+    x = np.array([[1 << 27, -(1 << 27)], [(1 << 27) - 1, 3]])
+    assert C.squares(x, x).tolist() == [[0, 1 + (3 + (1 << 27)) ** 2], [1 + (3 + (1 << 27)) ** 2, 0]]
+
+
+def test_odd_tables(spark):
+    assert C.compress(table(spark, [])).rows.count() == 0
+    none = C.compress(table(spark, [(1, None, 0), (2, [1.0] * 15, 0)]))
+    assert none.rows.count() == 0 and none.codebooks.size == 0
+    few = C.compress(table(spark, [(1, [1.0] * 16, 0), (2, [2.0] * 16, 0), (3, [1.0] * 32, 0), (4, [3e38] * 16, None)]))
+    assert sorted(r.vec_id for r in few.rows.collect()) == [1, 2, 4] and few.codebooks.shape == (16, 3, 1)
+
+
+def test_query(spark, tmp_path):
+    rows = vectors(200, 32)
+    table(spark, rows).write.parquet(f"{tmp_path}/embeddings.parquet")
+    out = C.query(spark, str(tmp_path)).collect()
+    want, books = plain(rows, 16, 64, 2)
+    assert sorted(((r.vec_id, r.code, r.error) for r in out), key=repr) == sorted(
+        ((i, "".join(f"{c:02x}" for c in code), e) for i, code, e in want), key=repr)
+    assert {r.codebooks_sha256 for r in out} == {C.codebook_digest(books)}
+    assert sum({r.label_error for r in out}) == sum(r.error for r in out)
