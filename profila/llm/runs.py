@@ -200,13 +200,13 @@ def unrolled(docs: DataFrame) -> DataFrame:
     """The query's texts: where h = crc32(doc_id) ends in 0, word i ≥ a becomes
     word a + (i − a) mod p.  A null id changes nothing."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    words = docs.where((h % 10 == 0) & F.col("text").rlike(WORD)).withColumn("w", F.expr(f"regexp_extract_all(text, r'{WORD}', 0)"))
-    g, n = F.floor(h / 10), F.size("w")
-    words = words.withColumn("a", g % n).withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + g % 8)))
-    place = F.expr("transform(sequence(0L, size(w) - 1L), i -> if(i < a, i, a + (i - a) % p))")
-    changed = words.withColumn("i", place).select("doc_id", F.expr("array_join(transform(i, j -> w[cast(j as int)]), ' ')").alias("text"))
-    rest = docs.where((h.isNull() | (h % 10 != 0)) | ~F.coalesce(F.col("text"), F.lit("")).rlike(WORD))
-    return changed.unionAll(rest.select("doc_id", "text"))
+    words = F.expr(f"regexp_extract_all(text, r'{WORD}', 0)")
+    rows = docs.select("doc_id", "text", h.alias("h")).withColumn("w", F.when(F.col("h") % 10 == 0, words))
+    g, n = F.floor(F.col("h") / 10), F.size("w")
+    rows = rows.withColumn("a", F.when(n > 0, g % n))
+    rows = rows.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + g % 8)))
+    rolled = F.expr("array_join(transform(sequence(0, size(w) - 1), i -> w[cast(if(i < a, i, a + (i - a) % p) as int)]), ' ')")
+    return rows.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(rolled).alias("text"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
