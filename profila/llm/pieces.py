@@ -217,7 +217,8 @@ def public_model(name: str = MODEL) -> str:
 
 
 def encode(docs: DataFrame, model: str | None = None, text: str = "text", keep=("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and ids, begins, ends: arrays over the pieces."""
+    """The columns ``keep``, the arrays ids, begins and ends over the pieces, and
+    covered, the bytes of the text that the pieces stand for."""
     spark = docs.sparkSession
     prepare(spark)
     blob = model_bytes(spark, model or public_model())
@@ -230,12 +231,13 @@ def encode(docs: DataFrame, model: str | None = None, text: str = "text", keep=(
         for batch in batches:
             for part in by_bytes(batch, "text"):
                 found = own.encode(part.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *map(lists_of, found)],
-                                                 [*part.schema.names[:-1], "ids", "begins", "ends"])
+                covered = pa.array([int((e - b).sum()) for b, e in zip(*found[1:])], pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *map(lists_of, found), covered],
+                                                 [*part.schema.names[:-1], "ids", "begins", "ends", "covered"])
 
     kinds = ", ".join(f"k{i} {f.dataType.simpleString()}" for i, f in enumerate(fields))
-    out = rows.mapInArrow(run, ", ".join(filter(None, [kinds, "ids array<int>, begins array<int>, ends array<int>"])))
-    return out.select(*(F.col(f"k{i}").alias(f.name) for i, f in enumerate(fields)), "ids", "begins", "ends")
+    out = rows.mapInArrow(run, ", ".join(filter(None, [kinds, "ids array<int>, begins array<int>, ends array<int>, covered long"])))
+    return out.select(*(F.col(f"k{i}").alias(f.name) for i, f in enumerate(fields)), "ids", "begins", "ends", "covered")
 
 
 def decode(tokens: DataFrame, model: str | None = None, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -259,14 +261,8 @@ def decode(tokens: DataFrame, model: str | None = None, ids: str = "ids", out: s
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op12: digests of every document's ids, spans and decoded text."""
-    found = decode(encode(read(spark, sf_dir, "documents")))
-
-    def sha(column):
-        return F.sha2(column.cast("binary"), 256)
-
-    def joined(name):
-        return F.array_join(F.col(name).cast("array<string>"), ",")
-
-    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), sha(joined("ids")).alias("ids_sha256"),
-                        sha(F.col("decoded")).alias("decoded_sha256"), sha(joined("ends")).alias("ends_sha256"))
+    """op12: digests of every document's ids and decoded text."""
+    found = decode(encode(read(spark, sf_dir, "documents")).select("doc_id", "ids", "covered"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "covered")
