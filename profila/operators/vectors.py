@@ -5,17 +5,18 @@ blocks are laid side by side in the order given (``hstack``).  Column
 indices come from the alphabetical order of the keys, each block prefixed
 with its position so blocks stay in order.
 
-``to_vectors`` gathers each device's non-zero cells — at most the number
-of matrix columns, whatever the device's event volume — and builds one
-``SparseVector`` per device with a small Python helper (Spark has no
-built-in constructor for sparse vectors).
+``to_vectors`` gathers each device's non-zero cells (one row of the matrix: at
+most as many as the device has different terms, whatever its event volume) and
+writes them in the stored form of ML's sparse vectors, which the table is then
+read back as: no Python on the way.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..session import durable
 from .text import tfidf, vocabulary
@@ -48,21 +49,19 @@ def matrix_vocabulary(matrix: DataFrame) -> DataFrame:
     return vocabulary(matrix.select(F.col("col").alias("term"))).withColumnRenamed("term", "col")
 
 
-@F.udf(VectorUDT())
-def _sparse(size, cells):
-    if not cells:
-        return SparseVector(size, [], [])
-    return SparseVector(size, [c[0] for c in cells], [c[1] for c in cells])
-
-
 def to_vectors(matrix: DataFrame, vocab: DataFrame, size, base: DataFrame,
                group: str = "device_id", out: str = "features") -> DataFrame:
-    """One ``SparseVector`` per row of ``base`` (rows without cells get an
-    all-zero vector)."""
+    """One sparse vector per row of ``base``, as a written table (rows without
+    cells get an all-zero vector)."""
     cells = (matrix.join(vocab, "col", "inner")
              .groupBy(group)
              .agg(F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("i"),
                                                        F.col("value").alias("v")))).alias("_cells")))
-    return (base.join(cells, group, "left")
-            .withColumn(out, _sparse(size if isinstance(size, F.Column) else F.lit(size), F.col("_cells")))
-            .drop("_cells"))
+    own = F.coalesce("_cells", F.array().cast("array<struct<i:int,v:double>>"))
+    # the stored form: kind 0 (sparse), length, places, values
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"),
+                      (size if isinstance(size, F.Column) else F.lit(size)).cast("int").alias("size"),
+                      own.getField("i").alias("indices"), own.getField("v").alias("values"))
+    stored = base.join(cells, group, "left").withColumn(out, vector).drop("_cells")
+    read_as = StructType([StructField(out, VectorUDT()) if f.name == out else f for f in stored.schema.fields])
+    return durable(stored, read_as)

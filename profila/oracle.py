@@ -418,3 +418,41 @@ def best_log_loss_sql() -> str:
   select fold, r, avg(-(label*ln(1/(1+exp(-(p-0.5)*r))) + (1-label)*ln(1-1/(1+exp(-(p-0.5)*r))))) loss
   from t, range(1, 9) rounds(r) group by fold, r)""") + """select fold,
   round(min(loss),6) best_log_loss, round(min(loss),6) best_log_loss_0 from per group by fold"""
+
+
+def ridge_stack_sql(prefix: str, label: str, folds: str, alpha: float) -> str:
+    """M6, M11 with M2: the normal equations of every fold model (all folds less
+    its own, the bias as a last column without a penalty), solved by Gauss-Jordan
+    steps over the augmented rows."""
+    binary = label == "gender"
+    target = "2.0*d.gender-1" if binary else "cast(d.age as double)"
+    out = (f"round_even(1-avg(1/(1+exp(-u))), 6) {prefix}_clf_0, round_even(avg(1/(1+exp(-u))), 6) {prefix}_clf_1"
+           if binary else f"round(avg(u), 6) {prefix}")
+    steps = [
+        f"""rr as (select d.device_id, {target} y, case when d.is_train=1 then f.fold end fold
+  from devices d left join {folds} f using (device_id))""",
+        """cols as (select col, cast(row_number() over (order by col) as int) j from (select distinct col from mat))""",
+        """size as (select cast(count(*)+1 as int) d from cols)""",
+        """x as (select device_id, j, "value" v from mat join cols using (col)
+  union all select device_id, (select d from size), 1.0 from devices)""",
+        """own as (select r.fold, a.j i, b.j, sum(a.v*b.v) s from x a join x b using (device_id) join rr r using (device_id)
+  where r.fold is not null group by all
+  union all select r.fold, a.j, (select d from size)+1, sum(a.v*r.y) from x a join rr r using (device_id)
+  where r.fold is not null group by all)""",
+        """ms as (select cast(range as int) m from range(5))""",
+        f"""eq as (select m, i, j, sum(case when fold<>m then s else 0 end)
+    + case when i=j and i<(select d from size) then {alpha} else 0 end s from own, ms group by m, i, j)""",
+        """grid as (select m, cast(a.range as int) i, cast(b.range as int) j from ms, range(1, (select d from size)+1) a,
+  range(1, (select d from size)+2) b)""",
+        """aug as (select m, list(r order by i) a from (
+  select m, i, list(coalesce(s, case when i=j and i<(select d from size) then """ + str(alpha) + """ else 0 end) order by j) r
+  from grid left join eq using (m, i, j) group by m, i) group by m)""",
+        """gj(m, k, a) using key (m) as (select m, 1, a from aug
+  union all select m, k+1, list_transform(a, lambda r, i: case when i=k then list_transform(r, lambda z: z/r[k])
+    else list_transform(list_zip(r, a[k]), lambda z: z[1]-r[k]/a[k][k]*z[2]) end) from gj where k<=(select d from size))""",
+        """w as (select m, cast(unnest(range(1, len(a)+1)) as int) j, unnest(list_transform(a, lambda r: r[len(r)])) b from gj)""",
+        """sc as (select r.device_id, w.m, sum(x.v*w.b) u from rr r join x using (device_id) join w using (j)
+  where r.fold is null or r.fold=w.m group by all)""",
+    ]
+    text = _with(APP_EVENTS, DEVICES, FOLDS if folds == "folds" else AGE_FOLDS, TRIPLES, *APP_TAG_MATRIX, *steps)
+    return text.replace("with ", "with recursive ", 1) + f"select device_id, {out} from sc group by device_id"

@@ -48,7 +48,7 @@ def learner_stacks(mat: Matrix, rows: DataFrame, learners: dict, prefix: str, nb
     """All stack outputs over one matrix, joined by device_id.  The learners
     are independent, so their fits are submitted concurrently and each
     family's output is written once, by ``save(df, name)``."""
-    data = durable(mat.vectors(rows))
+    data = mat.vectors(rows)
     tasks = {name: (lambda make=make, name=name: save(oof_stack(data, make(), f"{prefix}_{name}"), f"{prefix}_{name}"))
              for name, make in learners.items()}
     if nb:

@@ -220,7 +220,7 @@ def _gender_data(spark, sf_dir, active=False):
     ev = app_events(spark, sf_dir)
     mat = (active_matrix(ev, devs) if active else app_tag_matrix(ev, devs)).materialize()
     rows = durable(G.stack_rows(devs, gender_folds(devs)))
-    return durable(mat.vectors(rows))
+    return mat.vectors(rows)
 
 
 def _learner_query(name, prefix, active=False):
@@ -249,8 +249,8 @@ def _age_query(name):
         devs = devices(spark, sf_dir)
         mat = app_tag_matrix(app_events(spark, sf_dir), devs).materialize()
         rows = durable(G.stack_rows(devs, assign_folds(devs.where("is_train = 1"), "age"), "age"))
-        data = durable(mat.vectors(rows))
-        return oof_stack(data, LN.AGE_LEARNERS[name](), AGE_OUTPUT[name])
+        data = mat.vectors(rows)
+        return _round_doubles(oof_stack(data, LN.AGE_LEARNERS[name](), AGE_OUTPUT[name]))
     q.__doc__ = f"M2 out-of-fold age stack of the {name} learner."
     return q
 

@@ -75,7 +75,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def durable(df):
+def durable(df, read_as=None):
     """Write ``df`` once as a parquet table under the shared checkpoint
     folder (``spark.checkpoint.dir``) and return the table read back.
 
@@ -83,13 +83,14 @@ def durable(df):
     re-run after an executor is lost, read the written files instead of
     re-deriving them.  A columnar table is written and read far faster than
     the row-serialised files of an RDD checkpoint, and it is computed once
-    (an unpersisted RDD checkpoint computes its plan twice)."""
+    (an unpersisted RDD checkpoint computes its plan twice).  ``read_as``: the
+    schema to read the table back with."""
     import uuid
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/profila-tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return (spark.read.schema(read_as) if read_as else spark.read).parquet(path)
 
 
 def run_concurrently(tasks: dict, workers: int = 4) -> dict:
