@@ -456,3 +456,21 @@ def ridge_stack_sql(prefix: str, label: str, folds: str, alpha: float) -> str:
     ]
     text = _with(APP_EVENTS, DEVICES, FOLDS if folds == "folds" else AGE_FOLDS, TRIPLES, *APP_TAG_MATRIX, *steps)
     return text.replace("with ", "with recursive ", 1) + f"select device_id, {out} from sc group by device_id"
+
+
+def matrix_vectors_sql() -> str:
+    """T5 in long form: columns numbered from 0 in the order of their keys."""
+    return _with(APP_EVENTS, DEVICES, TRIPLES, *APP_TAG_MATRIX) + """select device_id,
+  dense_rank() over (order by col) - 1 idx, round("value", 6) "value" from mat"""
+
+
+def kmeans_fixed_point_sql() -> str:
+    """What the checked k-means must give: all devices, none misplaced."""
+    return _with(DEVICES) + """select cast(unnest([5, 19, 70]) as int) k, (select count(distinct device_id) from devices) points,
+  cast(0 as bigint) misplaced"""
+
+
+def svd_residual_sql() -> str:
+    """What the checked score columns must give: X Xᵀ s = σ² s for each."""
+    return """select m.matrix, cast(c.range as int) component, true holds
+from (select unnest(['tfidf_app_id', 'countvec_app_id', 'tfidf_tag_list', 'countvec_tag_list']) matrix) m, range(10) c"""

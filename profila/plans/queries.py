@@ -5,6 +5,8 @@ DuckDB twins in ``profila.oracle``."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,13 +26,15 @@ from .matrices import app_tag_matrix, active_matrix
 from ..operators import learners as LN
 from ..operators import metrics as MT
 from ..operators.boost import gbt_oof
-from ..operators.cluster import kmeans_features
+from ..operators.cluster import kmeans_features, misplaced
+from ..operators.csr import csr
 from ..operators.embed import embedding_table, fit_word2vec, mlp
 from ..operators.stack import oof_stack
+from ..operators.svd import residuals, svd_scores
 from ..sources import document_tokens_source
 from ..sources.tables import read_table
 from . import gender as G
-from .age import AGE_OUTPUT, svd_features
+from .age import AGE_OUTPUT, svd_features, svd_inputs, svd_names
 from .profile import NOT_FEATURES, NOT_AGE_FEATURES, _model_table, device_profile
 from ..functions import threshold
 from ..session import durable
@@ -244,6 +248,42 @@ def q_kmeans_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans_features(data.select("device_id", "features"), G.SG_KS, "kmeansword_")
 
 
+def q_kmeans_fixed_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 checked from the long cells: at the end of Lloyd's passes every device
+    is at the nearest mean (misplaced = 0) for every k."""
+    devs = devices(spark, sf_dir)
+    mat = app_tag_matrix(app_events(spark, sf_dir), devs).materialize()
+    found = durable(kmeans_features(mat.vectors(mat.rows), (5, 19, 70), "k"))
+    parts = [misplaced(mat.cells, found, f"k{k}").select(F.lit(k).alias("k"), "points", "misplaced") for k in (5, 19, 70)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_svd_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T6 + T7 checked from the long cells: X Xᵀ s = σ² s for every score column."""
+    parts = []
+    for kind, column, cells, vec in svd_inputs(app_events(spark, sf_dir)):
+        names = svd_names(kind, column)
+        scores = durable(svd_scores(vec, names))
+        parts.append(residuals(cells, scores, names).select(
+            F.lit(f"{kind}_{column}").alias("matrix"), "component", (F.col("residual") < 1e-6).alias("holds")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+def q_matrix_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: the vectors of the app/tag matrix read back as (device, column place, value)."""
+    devs = devices(spark, sf_dir)
+    mat = app_tag_matrix(app_events(spark, sf_dir), devs).materialize()
+    vectors = mat.vectors(mat.rows)
+
+    def run(batches):
+        for batch in batches:
+            indptr, indices, values = csr(batch.column("features"))
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(indptr))
+            yield pa.RecordBatch.from_arrays([batch.column("device_id").take(pa.array(owner)), pa.array(indices, pa.int64()),
+                                              pa.array(values)], ["device_id", "idx", "value"])
+    return _round_doubles(vectors.mapInArrow(run, "device_id long, idx long, value double"))
+
+
 def _age_query(name):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         devs = devices(spark, sf_dir)
