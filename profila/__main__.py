@@ -15,7 +15,7 @@ import json
 
 from .operators.boost import ROUNDS
 from .plans.profile import device_profile, report
-from .session import build_session
+from .session import build_session, remove_tables
 from .sources import app_events, devices, read_device_csv, read_event_csv, write_result
 
 
@@ -43,6 +43,7 @@ def main(argv=None) -> None:
     prof = device_profile(devs, events, k=a.folds, gbt_rounds=a.rounds, nn=not a.no_nn, artefact_dir=a.artefacts)
     write_result(prof.result, a.out)
     print(json.dumps(report(prof), default=str))
+    remove_tables(spark)
 
 
 if __name__ == "__main__":

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every job in this package assumes.  AQE re-plans joins from real
@@ -75,6 +76,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def tables_folder(spark: SparkSession) -> str:
+    """Where this application's written tables lie."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/profila-tables/{spark.sparkContext.applicationId}"
+
+
+def remove_tables(spark: SparkSession) -> None:
+    """Remove this application's written tables, at the end of a run."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(tables_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def durable(df, read_as=None):
     """Write ``df`` once as a parquet table under the shared checkpoint
     folder (``spark.checkpoint.dir``) and return the table read back.
@@ -87,19 +99,24 @@ def durable(df, read_as=None):
     schema to read the table back with."""
     import uuid
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/profila-tables/{uuid.uuid4().hex}"
+    path = f"{tables_folder(spark)}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return (spark.read.schema(read_as) if read_as else spark.read).parquet(path)
 
 
 def run_concurrently(tasks: dict, workers: int = 4) -> dict:
     """Run independent driver-side stage builders (each submits its own
-    Spark jobs) from a small thread pool; Spark schedules the jobs side by
-    side.  ``tasks``: name → zero-argument callable; returns name → result."""
+    Spark jobs) from a small thread pool, each in a scheduler pool of its own,
+    so that under fair scheduling none waits for all others.  ``tasks``: name →
+    zero-argument callable; returns name → result."""
     from concurrent.futures import ThreadPoolExecutor
     if workers <= 1 or len(tasks) <= 1:
         return {k: f() for k, f in tasks.items()}
+    sc = SparkContext.getOrCreate()
+
+    def pooled(name, task):
+        sc.setLocalProperty("spark.scheduler.pool", str(name))
+        return task()
     with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
-        futs = {k: pool.submit(f) for k, f in tasks.items()}
+        futs = {k: pool.submit(pooled, k, f) for k, f in tasks.items()}
         return {k: fut.result() for k, fut in futs.items()}
