@@ -9,8 +9,11 @@ lower-cased runs of letters, digits and underscores.
   on or stays by a random bit of (j, word).
 * Item-sized windows of the texts and the items are embedded by the same walks;
   a table samples some steps of a walk and puts windows with equal samples
-  together.  Walks are added until items edited at random by the full k reach
-  ``recall`` (0.99) or there are ``max_walks``.
+  together.  Every length of item gets walks of its own number, added until
+  ``TRIALS`` (200) copies at least, edited at random by the full k, reach
+  ``recall`` (0.99).  Where ``MAX_WALKS`` (24) walks fall short of it, the windows
+  of that length are verified without sampling, for every item that the condition
+  below leaves.
 * Before the walk a necessary condition drops windows that cannot reach the
   distance: by the q-gram lemma, k edits leave at least L − 2 − 3k of an item's
   L − 2 word triples, so a window with fewer triples of items of that length is
@@ -43,6 +46,7 @@ from .common import prepare, read
 SIMILARITY = 0.8
 RECALL = 0.99
 BLOCK_ITEMS = 10_000
+TRIALS = 200
 TABLES_A_WALK = 8
 SAMPLED = 3
 MAX_WALKS = 24
@@ -102,18 +106,24 @@ class Index:
         rng = np.random.default_rng(seed)
         self.walks: list = []
         self.tables: dict[int, list] = {n: [] for n in self.by_length}
-        edited = {n: np.stack([self._edit(self.coded[k], n, seed + k) for k in of]) for n, of in self.by_length.items()}
-        found = {n: np.zeros(len(of), bool) for n, of in self.by_length.items()}
-        while self.ids and len(self.walks) < MAX_WALKS:
-            self._add_walk(rng)
-            for n, of in self.by_length.items():
+        copies = {n: -(-TRIALS // len(of)) for n, of in self.by_length.items()}
+        edited = {n: np.stack([self._edit(self.coded[k], n, f"{seed} {k} {c}") for c in range(copies[n]) for k in of])
+                  for n, of in self.by_length.items()}
+        found = {n: np.zeros(len(e), bool) for n, e in edited.items()}
+        short = set(self.by_length)  # lengths still below the target
+        while short and len(self.walks) < MAX_WALKS:
+            self._add_walk(rng, short)
+            for n in list(short):
                 for keys, own in zip(self._keys(edited[n], len(self.walks) - 1), self.tables[n][-TABLES_A_WALK:]):
-                    found[n] |= own[2] == keys
-            if sum(f.sum() for f in found.values()) >= recall * len(self.ids):
-                break
+                    found[n] |= np.tile(own[2], copies[n]) == keys
+                if found[n].mean() >= recall:
+                    short.discard(n)
+        #: lengths whose windows are verified without sampling, by the triples of their items
+        self.exact = {n: {k: np.unique(self._code(w[:-2], w[1:-1], w[2:])) for k in self.by_length[n] for w in [self.coded[k]]}
+                      for n in short}
         self.tables = {n: [t[:2] for t in tables] for n, tables in self.tables.items()}  # as sent to the tasks
 
-    def _edit(self, item: np.ndarray, n: int, seed: int) -> np.ndarray:
+    def _edit(self, item: np.ndarray, n: int, seed: str) -> np.ndarray:
         """The item's window after its whole budget of random edits."""
         rng, out = random.Random(seed), list(item)
         for _ in range(budget(n, self.similarity)):
@@ -136,13 +146,14 @@ class Index:
         base = len(self.number) + 1
         return (a * base + b) * base + c if base < 2_000_000 else hash_mix(a, b, c)
 
-    def _add_walk(self, rng) -> None:
+    def _add_walk(self, rng, lengths) -> None:
         longest = max(self.by_length)
         odd = rng.integers(0, 1 << 63, 2 * longest, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         spots = rng.random((TABLES_A_WALK, SAMPLED))
         mix = rng.integers(0, 1 << 63, SAMPLED, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.walks.append((odd, spots, mix))
-        for n, of in self.by_length.items():
+        for n in lengths:
+            of = self.by_length[n]
             for keys in self._keys(np.stack([self.coded[k] for k in of]), len(self.walks) - 1):
                 order = np.argsort(keys, kind="stable")
                 self.tables[n].append((keys[order], np.array(of)[order], keys))
@@ -195,13 +206,17 @@ class Index:
             yield int(n), np.flatnonzero(np.cumsum(mark)[:-1] > 0)
 
     def candidates(self, ids: np.ndarray) -> set[tuple[int, int]]:
-        """(item, start) of windows that share a sample with the item."""
+        """(item, start) of windows that share a sample with the item, or hold
+        enough of its triples where samples fall short."""
         found = set()
         for n, starts in self.windows(ids):
+            if n in self.exact:
+                found.update(self._every(ids, n, starts))
+                continue
             padded = np.concatenate([ids, np.full(n, -1)])
             for part in np.array_split(starts, len(starts) // 50_000 + 1):
                 view = padded[part[:, None] + np.arange(n)]
-                for walk in range(len(self.walks)):
+                for walk in range(len(self.tables[n]) // TABLES_A_WALK):
                     for t, keys in enumerate(self._keys(view, walk)):
                         known, of = self.tables[n][walk * TABLES_A_WALK + t]
                         left, right = np.searchsorted(known, keys, "left"), np.searchsorted(known, keys, "right")
@@ -209,6 +224,20 @@ class Index:
                             found.update((int(k), int(part[w])) for k in of[left[w]:right[w]])
         return found
 
+    def _every(self, ids: np.ndarray, n: int, starts: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(item, start) of the windows with enough triples of the item itself."""
+        k = budget(n, self.similarity)
+        need = max(1, n - 2 - 3 * k)
+        for own in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
+            a, b = int(own[0]), min(int(own[-1]) + n + k, len(ids))
+            part = ids[a:b]
+            if len(part) < 3:
+                continue
+            code = np.where((part[:-2] > 0) & (part[1:-1] > 0) & (part[2:] > 0), self._code(part[:-2], part[1:-1], part[2:]), -1)
+            for item, grams in self.exact[n].items():
+                if np.isin(code, grams).sum() >= need:
+                    yield from ((item, int(s)) for s in own)
+
     def verify(self, words: list[str], found) -> dict[int, tuple[int, int, int]]:
         """item → (edits, first word, end word) of its nearest passage, for
         items within their budget."""

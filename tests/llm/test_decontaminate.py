@@ -103,3 +103,27 @@ def test_null_items_and_empty_tables(spark):
 def test_short_items_need_exact_words():
     index = D.Index([(1, "a1 b1 c1 d1"), (2, "k1 k2 k3 k4 k5")])
     assert [x["item_id"] for x in index.search(["z a1 b1 c1 d1 z k1 k2 kx k4 k5"])[0]] == [1]
+
+
+@pytest.mark.parametrize("most", [24, 4])
+def test_every_length_reaches_the_target(monkeypatch, most):
+    """A mixed benchmark; with few walks long items are verified without sampling."""
+    monkeypatch.setattr(D, "MAX_WALKS", most)
+    rng = random.Random(9)
+
+    def text(n):
+        return [f"v{rng.randrange(5000)}" for _ in range(n)]
+    items = [text(12) for _ in range(150)] + [text(n) for n in (50, 50, 150, 150, 400, 400)]
+    index = D.Index([(i, " ".join(w)) for i, w in enumerate(items)])
+    assert most == 24 or 400 in index.exact
+    assert all(n in index.exact or len(t) // D.TABLES_A_WALK >= 1 for n, t in index.tables.items())
+    tried, hit = {}, {}
+    for i in [*range(0, 150, 2), *range(150, 156)] + [*range(150, 156)] * 9:
+        w = list(items[i])
+        for _ in range(D.budget(len(w))):
+            at, how = rng.randrange(len(w)), rng.randrange(3)
+            w[at:at + (how != 0)] = [f"new{rng.randrange(99)}"] if how < 2 else []
+        found = index.search([" ".join(text(30) + w + text(30))])[0]
+        tried[len(items[i])] = tried.get(len(items[i]), 0) + 1
+        hit[len(items[i])] = hit.get(len(items[i]), 0) + any(x["item_id"] == i for x in found)
+    assert all(hit[n] >= 0.95 * tried[n] for n in tried), (hit, tried)
