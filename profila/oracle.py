@@ -474,3 +474,21 @@ def svd_residual_sql() -> str:
     """What the checked score columns must give: X Xᵀ s = σ² s for each."""
     return """select m.matrix, cast(c.range as int) component, true holds
 from (select unnest(['tfidf_app_id', 'countvec_app_id', 'tfidf_tag_list', 'countvec_tag_list']) matrix) m, range(10) c"""
+
+
+def embedded_sequence_sql() -> str:
+    """Padded places joined to the vectors, zeros where there is none."""
+    return _with(APP_EVENTS, TRIPLES, SEQ, RANKS, """coded as (
+  select s.device_id, s.pos, r."rank", count(*) over (partition by s.device_id) n
+  from seq s join ranks r on s.token=r.token)""", """places as (
+  select device_id, unnest(range(50)) pos, unnest(list_concat(list_transform(range(greatest(50-count(*),0)), lambda x: 0),
+    list(cast("rank" as bigint) order by pos))) token from coded where pos > n - 50 group by device_id)""") + """
+select p.device_id, cast(p.pos as int) pos, array_to_string(list_transform(coalesce(e.embedding, list_transform(range(64), lambda x: 0)),
+  lambda x: cast(floor(cast(x as double)*1000) as bigint)), ',') vec_text
+from places p left join embeddings e on p.token > 0 and e.vec_id = p.token * 7"""
+
+
+def event_id_sketches_sql() -> str:
+    """The exact counts; every estimate must lie within its error."""
+    return _with(APP_EVENTS) + """select device_id, count(distinct event_id) "exact", true "within"
+from app_events where device_id is not null group by device_id"""

@@ -28,7 +28,7 @@ from ..operators import metrics as MT
 from ..operators.boost import gbt_oof
 from ..operators.cluster import kmeans_features, misplaced
 from ..operators.csr import csr
-from ..operators.embed import embedding_table, fit_word2vec, mlp
+from ..operators.embed import embedded_sequence, embedding_table, fit_word2vec, mlp
 from ..operators.stack import oof_stack
 from ..operators.svd import residuals, svd_scores
 from ..sources import document_tokens_source
@@ -179,6 +179,31 @@ def q_app_sequence_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return padded.select("device_id", F.array_join(F.col("seq").cast("array<string>"), ",").alias("seq_text"))
 
 
+def q_embedded_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5 over T10: each place of the padded app sequences with its vector, the
+    embeddings table as the vector table (an app of rank r has vec_id 7 r);
+    components in thousandths."""
+    triples = L.distinct_app_tags(app_events(spark, sf_dir))
+    seq = L.first_use_sequence(triples).withColumn("token", F.col("app_id").cast("string"))
+    padded = TX.padded_sequence(seq, "device_id", "token", TX.frequency_rank(seq, "token"), 50)
+    vectors = (read_table(spark, sf_dir, "embeddings").where("vec_id % 7 = 0")
+               .select((F.col("vec_id") / 7).cast("long").alias("token"), F.col("embedding").alias("vector")))
+    found = embedded_sequence(padded, vectors, 64).select("device_id", F.posexplode("matrix").alias("pos", "v"))
+    text = F.array_join(F.transform("v", lambda x: F.floor(x * 1000).cast("string")), ",")
+    return found.select("device_id", "pos", text.alias("vec_text"))
+
+
+def q_event_id_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1's distinct event ids from stored daily sketches, held against the exact
+    count: within three standard errors."""
+    log = app_events(spark, sf_dir)
+    merged = ev_ops.merged_distinct_ids(durable(ev_ops.daily_id_sketches(log)))
+    exact = log.where("device_id is not null").groupBy("device_id").agg(F.countDistinct("event_id").alias("exact"))
+    off = F.abs(F.col("event_id_nunique") - F.col("exact"))
+    return merged.join(exact, "device_id").select(
+        "device_id", "exact", (off <= F.ceil(F.col("exact") * 3 * 1.04 / 2 ** (ev_ops.SKETCH_LG_K / 2))).alias("within"))
+
+
 # ---------------------------------------------------------------- stacks
 
 
