@@ -22,17 +22,17 @@ from ..operators.embed import device_vectors, fit_word2vec, mlp
 from ..operators.joins import attach
 from ..operators.naive_bayes import oof_naive_bayes
 from ..operators.stack import oof_stack
-from .matrices import Matrix, active_matrix, app_tag_matrix
-from ..session import durable, run_concurrently
+from .matrices import active_matrix, app_tag_matrix
+from ..session import durable, once, run_concurrently
 
 # Cluster counts of the two k-means families.
 SG_KS = (5, 10, 19, 30, 40, 50, 60, 70)
 AC_KS = (5, 10, 19, 30)
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
+def write_table(build, name: str, params: str | None = "") -> DataFrame:
     """A stage output as a table of this run."""
-    return durable(df)
+    return durable(build())
 
 
 def stack_rows(devs: DataFrame, folds: DataFrame, label: str = "gender") -> DataFrame:
@@ -43,22 +43,25 @@ def stack_rows(devs: DataFrame, folds: DataFrame, label: str = "gender") -> Data
                     F.when(F.col("is_train") == 1, F.col("fold")).alias("fold")))
 
 
-def learner_stacks(mat: Matrix, rows: DataFrame, learners: dict, prefix: str, nb: bool = True,
+def learner_stacks(mat, rows: DataFrame, learners: dict, prefix: str, nb: bool = True,
                    ks=(), kmeans_prefix: str = "", workers: int = 4, save=write_table) -> DataFrame:
-    """All stack outputs over one matrix, joined by device_id.  The learners
-    are independent, so their fits are submitted concurrently and each
-    family's output is written once, by ``save(df, name)``."""
-    data = mat.vectors(rows)
-    tasks = {name: (lambda make=make, name=name: save(oof_stack(data, make(), f"{prefix}_{name}"), f"{prefix}_{name}"))
-             for name, make in learners.items()}
+    """All stack outputs over one matrix (``mat``: a callable that gives it),
+    joined by device_id.  The learners are independent, so their fits are
+    submitted concurrently and each family's output is written once, by
+    ``save(build, name, params)``, which need not build what it has."""
+    data = once(lambda: mat().vectors(rows))
+    tasks = {}
+    for name, make in learners.items():
+        learner = make()
+        tasks[name] = (lambda n=f"{prefix}_{name}", x=learner: save(lambda: oof_stack(data(), x, n), n, x.params))
     if nb:
         nb_rows = rows.withColumn("label", F.col("label").cast("int"))
         for kind, tag in (("bernoulli", "bnb"), ("multinomial", "mnb")):
-            tasks[tag] = (lambda kind=kind, tag=tag: save(
-                oof_naive_bayes(mat.cells, nb_rows, mat.n_cols, kind, prefix=f"{prefix}_{tag}"), f"{prefix}_{tag}"))
+            tasks[tag] = (lambda kind=kind, n=f"{prefix}_{tag}": save(
+                lambda: oof_naive_bayes(mat().cells, nb_rows, mat().n_cols, kind, prefix=n), n, kind))
     if ks:
-        tasks["kmeans"] = lambda: save(kmeans_features(data.select("device_id", "features"), ks, kmeans_prefix),
-                                       f"{prefix}_kmeans")
+        tasks["kmeans"] = lambda: save(lambda: kmeans_features(data().select("device_id", "features"), ks, kmeans_prefix),
+                                       f"{prefix}_kmeans", f"ks={tuple(ks)}")
     parts = run_concurrently(tasks, workers)
     return attach(rows.select("device_id"), list(parts.values()))
 
@@ -82,16 +85,17 @@ def nn_stack(events: DataFrame, devs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def gender_stacks(events: DataFrame, devs: DataFrame, folds: DataFrame, nn: bool = True,
-                  sg_ks=SG_KS, ac_ks=AC_KS, workers: int = 3, mat: Matrix | None = None, save=write_table) -> DataFrame:
-    mat = mat or app_tag_matrix(events, devs).materialize()
+                  sg_ks=SG_KS, ac_ks=AC_KS, workers: int = 3, mat=None, save=write_table) -> DataFrame:
+    mat = mat or once(lambda: app_tag_matrix(events, devs).materialize())
+    active = once(lambda: active_matrix(events, devs).materialize())
     rows = durable(stack_rows(devs, folds))
     tasks = {
         "sg": lambda: learner_stacks(mat, rows, LN.GENDER_LEARNERS, "tfidf", ks=sg_ks,
                                      kmeans_prefix="kmeansword_", save=save),
-        "ac": lambda: learner_stacks(active_matrix(events, devs).materialize(), rows, LN.AC_GENDER_LEARNERS,
+        "ac": lambda: learner_stacks(active, rows, LN.AC_GENDER_LEARNERS,
                                      "ac_tfidf", ks=ac_ks, kmeans_prefix="kmeansac_word_", save=save),
     }
     if nn:
-        tasks["nn"] = lambda: save(nn_stack(events, devs, rows), "nn")
+        tasks["nn"] = lambda: save(lambda: nn_stack(events, devs, rows), "nn")
     parts = run_concurrently(tasks, workers)
     return attach(rows.select("device_id"), [parts[k] for k in tasks])

@@ -120,3 +120,17 @@ def run_concurrently(tasks: dict, workers: int = 4) -> dict:
     with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
         futs = {k: pool.submit(pooled, k, f) for k, f in tasks.items()}
         return {k: fut.result() for k, fut in futs.items()}
+
+
+def once(build):
+    """A zero-argument callable that builds its value at the first call only,
+    whichever of several threads makes it."""
+    import threading
+    lock, made = threading.Lock(), []
+
+    def get():
+        with lock:
+            if not made:
+                made.append(build())
+            return made[0]
+    return get
