@@ -7,10 +7,17 @@ the anchors' places, and aligns the gaps between them in the same way; a gap
 without an anchor matches its common first and last words.
 
 Passages are the stretches of the whole text that hold enough of a template's
-words within its length and a quarter more; that is necessary for coverage, so
-nothing is lost, and a long text costs no more than its words.  After a find
+words within its length and a quarter more (a find may have no more foreign words
+than that), and a long text costs no more than its words.  After a find
 the search goes on behind it.  Where finds of two templates overlap, the one
-that covers more stays, then the longer, then the first template by name.
+that covers more words stays (so the more specific of two notices, and a whole
+text before its first sentence), then the one with the larger share, then the
+first template by name.  A text is compared only with templates of whose
+different words it holds enough for the coverage, which loses nothing.
+
+The templates given (``TEMPLATES``) are lines, notices and short texts of common
+licenses (``license_texts``); the long licenses are known by their notices, not by
+their whole texts, and licenses that are not named there are not found.
 
 Words are lower-cased runs of letters and digits.  Texts are scanned where they
 are read; nothing is shuffled, and only the templates are sent to the tasks: a
@@ -32,18 +39,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from . import license_texts
 from .common import prepare, read
 
 COVERAGE = 0.9
 MAX_TEMPLATE_WORDS = 2_000_000
-#: Short notices of well-known licenses.
-TEMPLATES = {
+_WORD = re.compile(r"[^\W_]+")
+#: Short lines under names of their own, and the set of ``license_texts``.
+_LINES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
                          "compliance with the License. You may obtain a copy of the License at",
     "BSD notice": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
                   "that the following conditions are met",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
     "MIT": "Released under the MIT License",
@@ -51,15 +59,29 @@ TEMPLATES = {
                   "associated documentation files, to deal in the Software without restriction",
     "Proprietary": "All rights reserved",
 }
-_WORD = re.compile(r"[^\W_]+")
-_KIND = "array<struct<license:string,coverage:double,start:int,end:int>>"
-_ARROW = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
 def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+def _named(own: Mapping[str, str], more: Mapping[str, str]) -> dict[str, str]:
+    """All templates; of equal words the name that ``own`` gives."""
+    out, seen = dict(own), {tuple(words_of(t)) for t in own.values()}
+    for name, text in more.items():
+        if tuple(words_of(text)) not in seen:
+            seen.add(tuple(words_of(text)))
+            out[f"{name} work" if name in out else name] = text
+    return out
+
+
+_KIND = "array<struct<license:string,coverage:double,start:int,end:int>>"
+_ARROW = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("start", pa.int32()), ("end", pa.int32())]))
+
+
+TEMPLATES = _named(_LINES, license_texts.templates())
+
+
 def increasing(places: list[int]) -> list[int]:
     """Indexes of a longest increasing subsequence."""
     tails, at, back = [], [], []
@@ -108,12 +130,20 @@ class Scanner:
             raise ValueError(f"templates of more than {MAX_TEMPLATE_WORDS} words; scan them in several runs")
         self.number: dict[str, int] = {}
         self.own = [np.unique([self.number.setdefault(w, len(self.number) + 1) for w in words]) for _, words in self.templates]
+        # which words each template has, and how many different ones coverage calls for
+        self.holds = np.zeros((len(self.number) + 1, len(self.own)), np.int32)
+        for t, own in enumerate(self.own):
+            self.holds[own, t] = 1
+        self.least = np.array([len(own) - (len(words) - int(np.ceil(len(words) * coverage - 1e-9)))
+                               for own, (_, words) in zip(self.own, self.templates)], int)
 
     def finds(self, text: list[str], ids: np.ndarray, known: np.ndarray) -> list[tuple[str, float, int, int]]:
         """(license, coverage, first word, end word) in one text; known: its
         places with some template's word."""
         found = []
-        for (name, template), own in zip(self.templates, self.own):
+        enough = self.holds[np.unique(ids[known])].sum(axis=0) >= self.least
+        for t in np.flatnonzero(enough).tolist():
+            (name, template), own = self.templates[t], self.own[t]
             n = len(template)
             span, need = n + n // 4 + 1, int(np.ceil(n * self.coverage - 1e-9))
             at = known[np.isin(ids[known], own)]
@@ -127,15 +157,15 @@ class Scanner:
                 pairs = align(text[p:p + span], template)
                 if len(pairs) >= need:
                     a, b = p + pairs[0][0], p + pairs[-1][0] + 1
-                    found.append((name, len(pairs) / n, a, b))
+                    found.append((name, len(pairs) / n, a, b, len(pairs)))
                     behind = b
-        found.sort(key=lambda f: (-f[1], f[2] - f[3], f[0], f[2]))
+        found.sort(key=lambda f: (-f[4], -f[1], f[0], f[2]))
         kept: list = []  # by place; none overlap, so only the neighbours matter
         for f in found:
-            i = bisect_left(kept, (f[2], f[3]), key=lambda k: k[2:])
+            i = bisect_left(kept, (f[2], f[3]), key=lambda k: k[2:4])
             if (i == 0 or kept[i - 1][3] <= f[2]) and (i == len(kept) or kept[i][2] >= f[3]):
                 kept.insert(i, f)
-        return kept
+        return [f[:4] for f in kept]
 
     def scan(self, texts: list[str | None]) -> list[list[dict]]:
         get, out = self.number.get, []

@@ -47,7 +47,7 @@ def test_alignment_against_definition():
 def test_finds_each_notice(spark):
     rng, rows, want = random.Random(5), [], {}
     names = sorted(L.TEMPLATES)
-    for i in range(90):
+    for i in range(len(names) + 20):
         name, filler = names[i % len(names)], [f"f{rng.randrange(99)}" for _ in range(rng.randrange(400))]
         at = rng.randrange(len(filler) + 1)
         rows.append((i, " ".join(filler[:at]) + "\n" + L.TEMPLATES[name].upper() + ".\n" + " ".join(filler[at:]), "s"))
@@ -70,3 +70,33 @@ def test_nulls_and_empty_tables(spark):
     df = docs(spark, [(None, "All rights reserved.", None), (1, None, "a"), (2, "", "a"), (3, "all RIGHTS reserved", "a"), (3, "all RIGHTS reserved", "a")])
     assert sorted([(r.doc_id, r.license) for r in L.scan(df).collect()], key=str) == [(3, "Proprietary")] * 2 + [(None, "Proprietary")]
     assert L.scan(docs(spark, [])).count() == 0 and L.scan(df, {"none": "", "other": "..."}).count() == 0
+
+
+def found(text):
+    return [x["license"] for x in L.Scanner(L.TEMPLATES).scan([text])[0]]
+
+
+def test_variants_are_told_apart():
+    for code, name in (("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"), ("BY", "Attribution")):
+        assert found(f"This work is licensed under a Creative Commons {name} 4.0 International License.") == [f"CC-{code}-4.0"]
+    assert found("Licensed under CC BY-NC-SA 4.0") == ["CC-BY-NC-SA-4.0 line"]
+    assert found("licensed under the MIT License") == ["MIT licensed"] and found("SPDX-License-Identifier: MPL-2.0") == ["MPL-2.0 identifier"]
+    texts = L.license_texts.templates()
+    for name in ("GPL-2.0-or-later notice", "GPL-3.0-or-later notice", "LGPL-2.1-or-later notice", "AGPL-3.0-or-later notice",
+                 "MIT text", "BSD-2-Clause text", "BSD-3-Clause text", "ISC text", "0BSD text", "Unlicense text", "Apache-2.0 full notice"):
+        words = texts[name].split()
+        words[len(words) // 2] = "changed"  # a whole text with an edit stays the whole text
+        assert found("Copyright (c) 2020 A. Nother. " + " ".join(words) + " more") == [name]
+
+
+def test_filter_by_different_words_loses_nothing():
+    rng, scanner = random.Random(11), L.Scanner({f"t{k}": " ".join(f"w{(k * 7 + j * j) % 23}" for j in range(12)) for k in range(20)})
+    for _ in range(60):
+        name, words = rng.choice(scanner.templates)
+        text = [f"x{rng.randrange(9)}" for _ in range(9)] + [w for w in words if rng.random() < 0.95] + [f"w{rng.randrange(23)}" for _ in range(9)]
+        ids = L.np.array([scanner.number.get(w, 0) for w in text])
+        known, least = L.np.flatnonzero(ids), scanner.least
+        got = scanner.finds(text, ids, known)
+        scanner.least = least * 0
+        assert scanner.finds(text, ids, known) == got
+        scanner.least = least
