@@ -26,3 +26,17 @@ def attach(base: DataFrame, parts: list[DataFrame], key: str = "device_id") -> D
     """Left-join each per-key feature table onto ``base`` by key.
     Each part must carry one row per key."""
     return reduce(lambda acc, p: acc.join(p, key, "left"), parts, base)
+
+
+def chain_predicted(table: DataFrame, predicted: DataFrame, column: str = "gender", key: str = "device_id") -> DataFrame:
+    """J7 + M18: ``column`` true where the row is labelled (``is_train`` = 1) and
+    predicted elsewhere.  ``predicted``: (key, value), one row per key."""
+    value, = (c for c in predicted.columns if c != key)
+    return (table.join(predicted.select(key, F.col(value).alias("_pred")), key, "left")
+            .withColumn(column, F.when(F.col("is_train") == 1, F.col(column)).otherwise(F.col("_pred"))).drop("_pred"))
+
+
+def result_rows(raw: DataFrame, predictions: DataFrame, key: str = "device_id") -> DataFrame:
+    """One result row for every row of the raw unlabelled list, in which a
+    key may stand several times; keys without a prediction get nulls."""
+    return raw.select(key).join(predictions, key, "left")

@@ -7,6 +7,8 @@ read back (S3), the best loss over rounds (A19, F8, F9)."""
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,11 +17,12 @@ from ..operators import metrics as MT
 from ..operators.encode import kfold_target_encode
 from ..operators.events import device_event_aggregates
 from ..operators.folds import assign_folds
-from ..operators.joins import attach
+from ..operators.assemble import feature_columns
+from ..operators.joins import attach, chain_predicted, result_rows
 from ..operators.naive_bayes import oof_naive_bayes
-from ..session import durable, ensure_checkpoint_dir
+from ..session import durable, tables_folder
 from ..sources import app_events, devices
-from ..sources.files import read_artefact, write_artefact
+from ..sources.files import Stages
 from . import gender as G
 from .features import device_feature_table, gender_folds
 from .matrices import app_tag_matrix
@@ -58,11 +61,9 @@ def q_model_matrix_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
     folds = durable(gender_folds(devs))
     base = device_feature_table(devs, app_events(spark, sf_dir), folds)
     stage = attach(devs.select("device_id"), _stacks(spark, sf_dir, devs, folds))
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{spark.sparkContext.applicationId}-model-matrix"
-    write_artefact(stage, path)
-    table = attach(base, [read_artefact(spark, path)])
-    kept = [c for c in table.columns if c not in NOT_FEATURES]
-    return _round(table.select("device_id", *kept))
+    stages = Stages(spark, f"{tables_folder(spark)}/stages-{uuid4().hex}")  # runs side by side don't meet
+    table = attach(base, [stages(lambda: stage, "model_matrix")])
+    return _round(table.select("device_id", *feature_columns(table, NOT_FEATURES)))
 
 
 def _predicted_gender(spark, sf_dir, devs) -> DataFrame:
@@ -76,9 +77,8 @@ def q_chained_gender_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P10 + J7 + M18: the age model's gender column, true where it is known and
     predicted elsewhere."""
     devs = durable(devices(spark, sf_dir))
-    return (devs.join(_predicted_gender(spark, sf_dir, devs), "device_id", "left")
-            .select("device_id", "phone_brand", "device_model", "is_train",
-                    F.when(F.col("is_train") == 1, F.col("gender")).otherwise(F.col("gender_pred")).alias("gender")))
+    return (chain_predicted(devs, _predicted_gender(spark, sf_dir, devs))
+            .select("device_id", "phone_brand", "device_model", "is_train", "gender"))
 
 
 def q_result_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +91,7 @@ def q_result_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     preds = _predicted_gender(spark, sf_dir, devs).withColumnRenamed("gender_pred", "gender").join(age, "device_id", "left")
     raw = devices(spark, sf_dir, dedup=False).where("is_train = 0").select("device_id")
     raw = raw.unionAll(raw.where("device_id % 2 = 0"))
-    return raw.join(preds, "device_id", "left").select("device_id", "gender", "age")
+    return result_rows(raw, preds).select("device_id", "gender", "age")
 
 
 def q_best_log_loss(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from ..functions import round6
 from ..operators import events as ev_ops
 from ..operators.encode import kfold_target_encode
 from ..operators.folds import assign_folds
-from ..operators.joins import attach
+from ..operators.joins import attach, chain_predicted
 from ..sources import app_events, devices, retail_events
 from .features import ENCODED, device_feature_table, gender_folds
 from ..functions import word_tokens
@@ -391,9 +391,7 @@ def q_age_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     devs, folds, base = _base_models(spark, sf_dir)
     gdata, gcols = _model_table(base, folds, "gender", NOT_FEATURES)
     _, g_test, _, _ = gbt_oof(gdata, "classification", gcols)
-    chained = (base.join(g_test.select("device_id", threshold("s").alias("_gp")), "device_id", "left")
-               .withColumn("gender", F.when(F.col("is_train") == 1, F.col("gender")).otherwise(F.col("_gp")))
-               .drop("_gp"))
+    chained = chain_predicted(base, g_test.select("device_id", threshold("s").alias("gender_pred")))
     afolds = durable(assign_folds(devs.where("is_train = 1"), "age"))
     adata, acols = _model_table(chained, afolds, "age", NOT_AGE_FEATURES)
     _, a_test, _, _ = gbt_oof(adata, "regression", acols)

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from profila.operators.joins import chain_predicted, result_rows
 from profila.operators import events as EV
 from profila.operators import lists as L
 from profila.operators import text as TX
@@ -115,5 +116,12 @@ def test_padding_keeps_last_50(spark, n):
 def test_duplicate_device_row_two_result_rows(spark):
     raw = dev(spark, [(7, 1, 1, None, None, 0), (7, 1, 1, None, None, 0), (8, 1, 1, None, None, 0)])
     preds = spark.createDataFrame([(7, 1, 30.0), (8, 0, 40.0)], "device_id long, gender int, age double")
-    assert raw.dropDuplicates().count() == 2
-    assert raw.where("is_train = 0").select("device_id").join(preds, "device_id", "left").count() == 3
+    raw = raw.unionByName(dev(spark, [(9, 1, 1, None, None, 0)]))
+    got = sorted(result_rows(raw.where("is_train = 0"), preds).collect())
+    assert [tuple(r) for r in got] == [(7, 1, 30.0), (7, 1, 30.0), (8, 0, 40.0), (9, None, None)]
+
+
+def test_predicted_gender_only_where_unlabelled(spark):
+    table = dev(spark, [(1, 1, 1, 0, 20, 1), (2, 1, 1, None, None, 0), (3, 1, 1, None, None, 0)])
+    got = chain_predicted(table, spark.createDataFrame([(1, 1), (2, 1)], "device_id long, p int")).collect()
+    assert {r.device_id: r.gender for r in got} == {1: 0, 2: 1, 3: None}
