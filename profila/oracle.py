@@ -492,3 +492,17 @@ def event_id_sketches_sql() -> str:
     """The exact counts; every estimate must lie within its error."""
     return _with(APP_EVENTS) + """select device_id, count(distinct event_id) "exact", true "within"
 from app_events where device_id is not null group by device_id"""
+
+
+def skipgram_pairs_sql() -> str:
+    """Sub-sampled tokens, numbered anew, met within their windows."""
+    def uniform(*parts):
+        return f"(cast('0x' || substr(md5({" || ':' || ".join(parts)}), 1, 8) as bigint) / 4294967296.0)"
+    u, v = (uniform("cast(device_id as varchar)", "cast(pos as varchar)", tag) for tag in ("'2021'", "'2021 window'"))
+    return _with(APP_EVENTS, TRIPLES, SEQ, """tc as (select token, count(*) cnt from seq group by token having count(*) >= 3)""",
+                 """tot as (select sum(cnt) n from tc)""",
+                 f"""kept as (select device_id, pos, token, floor({v} * 4) + 1 b from seq join tc using (token), tot
+  where {u} < (sqrt((cnt / n) / 0.002) + 1) * (0.002 / (cnt / n)))""",
+                 """placed as (select *, row_number() over (partition by device_id order by pos) k from kept)""") + """
+select a.token centre, c.token context, count(*) n from placed a join placed c
+  on a.device_id = c.device_id and c.k <> a.k and c.k between a.k - a.b and a.k + a.b group by all"""

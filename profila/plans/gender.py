@@ -5,7 +5,7 @@ SG  app/tag count + tf-idf matrix → lr, sgd, pac, ridge, svc (Spark ML /
     k = 5 … 70 → ``kmeansword_{k}``.
 AC  active-app 1–3-gram matrix → lr, sgd, pac, svc, bnb, mnb →
     ``ac_tfidf_{m}_clf_{0,1}``; k-means k = 5 … 30 → ``kmeansac_word_{k}``.
-NN  Word2Vec document vectors → MLP → ``nn_sex_1``, ``nn_sex_0``.
+NN  skip-gram device vectors → MLP → ``nn_sex_1``, ``nn_sex_0``.
 
 Every stage writes its output once (checkpoint) and is joined by key (J6).
 """
@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from ..operators import learners as LN
 from ..operators import lists as L
 from ..operators.cluster import kmeans_features
-from ..operators.embed import device_vectors, fit_word2vec, mlp
+from ..operators import skipgram
+from ..operators.embed import mlp
 from ..operators.joins import attach
 from ..operators.naive_bayes import oof_naive_bayes
+from ..operators.skipgram import device_vectors
 from ..operators.stack import oof_stack
 from .matrices import active_matrix, app_tag_matrix
 from ..session import durable, once, run_concurrently
@@ -66,21 +68,18 @@ def learner_stacks(mat, rows: DataFrame, learners: dict, prefix: str, nb: bool =
     return attach(rows.select("device_id"), list(parts.values()))
 
 
-def sequence_tokens(events: DataFrame, devs: DataFrame) -> DataFrame:
-    """A10 as token arrays per device (bounded by the app catalogue);
-    devices without events get an empty sequence."""
-    triples = L.distinct_app_tags(events)
-    seq = L.first_use_sequence(triples).withColumn("token", F.col("app_id").cast("string"))
-    lists = L.bounded_list(seq, "device_id", "token", name="tokens")
-    return (devs.select("device_id").distinct().join(lists, "device_id", "left")
-            .withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>"))))
+def app_sequence(events: DataFrame) -> DataFrame:
+    """A10 in long form: (device_id, pos, token)."""
+    return L.first_use_sequence(L.distinct_app_tags(events)).withColumn("token", F.col("app_id").cast("string"))
 
 
 def nn_stack(events: DataFrame, devs: DataFrame, rows: DataFrame) -> DataFrame:
-    seqs = durable(sequence_tokens(events, devs))
-    w2v = fit_word2vec(seqs.where(F.size("tokens") > 0))
-    data = device_vectors(w2v, seqs).join(rows, "device_id").select("device_id", "features", "label", "fold")
-    out = oof_stack(data, mlp(), "nn", round_output=False)  # the network's output is not rounded
+    seq = durable(app_sequence(events))
+    # token arrays, bounded by the app catalogue; empty without events
+    lists = L.bounded_list(seq, "device_id", "token", name="tokens")
+    seqs = devs.select("device_id").distinct().join(lists, "device_id", "left")
+    data = (device_vectors(skipgram.fit(seq), seqs).join(rows, "device_id").select("device_id", "features", "label", "fold"))
+    out = oof_stack(durable(data), mlp(), "nn", round_output=False)  # the network's output is not rounded
     return out.select("device_id", F.col("nn_clf_1").alias("nn_sex_1"), F.col("nn_clf_0").alias("nn_sex_0"))
 
 

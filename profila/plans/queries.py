@@ -28,7 +28,8 @@ from ..operators import metrics as MT
 from ..operators.boost import gbt_oof
 from ..operators.cluster import kmeans_features, misplaced
 from ..operators.csr import csr
-from ..operators.embed import embedded_sequence, embedding_table, fit_word2vec, mlp
+from ..operators import skipgram
+from ..operators.embed import embedded_sequence, mlp
 from ..operators.stack import oof_stack
 from ..operators.svd import residuals, svd_scores
 from ..sources import document_tokens_source
@@ -332,14 +333,18 @@ def q_svd_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_app_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T8 + T9: skip-gram app vectors (token, vector)."""
-    seqs = G.sequence_tokens(app_events(spark, sf_dir), devices(spark, sf_dir))
-    model = fit_word2vec(seqs.where(F.size("tokens") > 0))
-    from pyspark.ml.functions import vector_to_array
-    return embedding_table(model).select("token", vector_to_array("vector").alias("vector"))
+    return skipgram.embedding_table(spark, skipgram.fit(G.app_sequence(app_events(spark, sf_dir))))
+
+
+def q_skipgram_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8's training pairs: how often each app meets each other one within the
+    seeded windows, after sub-sampling."""
+    found = skipgram.pairs(durable(G.app_sequence(app_events(spark, sf_dir))))
+    return found.groupBy("centre", "context").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_stack_nn_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M14 + J5: Word2Vec device vectors → MLP, out of fold."""
+    """M14 + T8: skip-gram device vectors → MLP, out of fold."""
     devs = devices(spark, sf_dir)
     rows = durable(G.stack_rows(devs, gender_folds(devs)))
     return G.nn_stack(app_events(spark, sf_dir), devs, rows)
