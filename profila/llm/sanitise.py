@@ -16,7 +16,9 @@ to no address or number; df(t) counts every run of letters.
 
 Positions come without any row code: a text's matches and the pieces between
 them give all lengths, summed in chunks so that texts with very many matches
-stay cheap.  The patterns are linear in the text: runs are taken possessively
+stay cheap.  What stands near an entity is put together from the pieces and
+matches around it, whatever else matches there: years, house numbers and
+neighbouring addresses do not end it.  The patterns are linear in the text: runs are taken possessively
 and matches start only where a run starts.  Counting and joining work on rows
 of (entity, term), aggregated before they are shuffled.
 
@@ -54,21 +56,37 @@ def _let(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _located(text: str, pattern: str, tag: str, fields: str) -> str:
-    """Array of one struct for each match of ``pattern`` in the SQL value
-    ``text``: start and end (code points), and ``fields`` over the match m and
-    the pieces of text before and after it, ``before`` and ``after``."""
+def _located(text: str, pattern: str, tag: str, valid: str, row: str) -> str:
+    """Array of ``row`` for each match of ``pattern`` in the SQL value ``text``
+    that is ``valid``.  Both see the match as x: start and end (code points),
+    value, and its number i; ``row`` also sees the matches h_tag and the pieces
+    of text around them, p_tag."""
     h, p, g, o, c = (f"{x}_{tag}" for x in "hpgoc")
-    none = f"transform(filter({h}, x -> false), (m, i) -> named_struct('start', 0, 'end', 0, {fields.replace('{before}', 'm').replace('{after}', 'm')}))"
-    row = (f"named_struct('start', {c}[i div {_CHUNK}] + aggregate(slice({g}, cast(i div {_CHUNK} as int) * {_CHUNK} + 1, i % {_CHUNK}), 0, (a, x) -> a + x) + length({p}[i]),"
-           f" 'end', {c}[i div {_CHUNK}] + aggregate(slice({g}, cast(i div {_CHUNK} as int) * {_CHUNK} + 1, i % {_CHUNK} + 1), 0, (a, x) -> a + x),"
-           f" {fields.replace('{before}', f'{p}[i]').replace('{after}', f'{p}[i + 1]')})")
-    some = _let(p, f"split({text}, r'{pattern}', -1)",
-                _let(g, f"transform({h}, (m, i) -> length({p}[i]) + length(m))",
-                     _let(o, f"transform(sequence(0, cast((size({h}) - 1) div {_CHUNK} as int)), k -> aggregate(slice({g}, k * {_CHUNK} + 1, {_CHUNK}), 0, (a, x) -> a + x))",
-                          _let(c, f"transform({o}, (s, k) -> aggregate(slice({o}, 1, k), 0, (a, x) -> a + x))",
-                               f"transform({h}, (m, i) -> {row})"))))
-    return _let(h, f"regexp_extract_all({text}, r'{pattern}', 0)", f"if(size({h}) = 0, {none}, {some})")
+    match = (f"named_struct('start', {c}[i div {_CHUNK}] + aggregate(slice({g}, cast(i div {_CHUNK} as int) * {_CHUNK} + 1, i % {_CHUNK}), 0, (a, x) -> a + x) + length({p}[i]),"
+             f" 'end', {c}[i div {_CHUNK}] + aggregate(slice({g}, cast(i div {_CHUNK} as int) * {_CHUNK} + 1, i % {_CHUNK} + 1), 0, (a, x) -> a + x),"
+             f" 'value', m, 'i', i)")
+    # a text without a match is not split
+    return _let(h, f"regexp_extract_all({text}, r'{pattern}', 0)",
+                _let(p, f"if(size({h}) = 0, array(), split({text}, r'{pattern}', -1))",
+                     _let(g, f"transform({h}, (m, i) -> length({p}[i]) + length(m))",
+                          _let(o, f"transform(sequence(0, cast((size({h}) - 1) div {_CHUNK} as int)), k -> aggregate(slice({g}, k * {_CHUNK} + 1, {_CHUNK}), 0, (a, x) -> a + x))",
+                               _let(c, f"transform({o}, (s, k) -> aggregate(slice({o}, 1, k), 0, (a, x) -> a + x))",
+                                    f"transform(filter(transform({h}, (m, i) -> {match}), x -> {valid}), x -> {row})")))))
+
+
+def _near(side: str, tag: str) -> str:
+    """The ``CONTEXT`` characters before or after match x, less a word that the
+    cut would split.  A match and the piece behind it have three characters at
+    least, so a third as many pieces as characters reach far enough."""
+    h, p, far = f"h_{tag}", f"p_{tag}", CONTEXT // 3
+    if side == "left":
+        whole = (f"array_join(transform(sequence(greatest(x.i - {far}, 0), x.i), j -> concat(right({p}[j], {CONTEXT}),"
+                 f" if(j < x.i, right({h}[j], {CONTEXT}), ''))), '')")
+        return f"if(x.start > {CONTEXT}, regexp_replace(right({whole}, {CONTEXT}), r'^[^\\s]+', ''), {whole})"
+    whole = (f"array_join(transform(sequence(x.i + 1, least(x.i + 1 + {far}, size({p}) - 1)), j -> concat(left({p}[j], {CONTEXT + 1}),"
+             f" if(j < size({h}), left({h}[j], {CONTEXT + 1}), ''))), '')")
+    cut = f"if(length(w) > {CONTEXT}, regexp_replace(left(w, {CONTEXT}), r'[^\\s]+$', ''), w)"
+    return _let("w", whole, cut)
 
 
 _DIGITS = "regexp_replace(x.value, '[^0-9]', '')"
@@ -82,8 +100,6 @@ _VALID = {
     "phone": f"length({_DIGITS}) between 10 and 15",
 }
 _NORMAL = {"email": "lower(x.value)", "ip": "x.value", "card": _DIGITS, "phone": _DIGITS}
-_FIELDS = (f"'value', m, 'left', if(length({{before}}) > {CONTEXT}, regexp_replace(right({{before}}, {CONTEXT}), r'^[^\\s]+', ''), {{before}}),"
-           f" 'right', if(length({{after}}) > {CONTEXT}, regexp_replace(left({{after}}, {CONTEXT}), r'[^\\s]+$', ''), {{after}})")
 
 
 def entities(text: Column) -> Column:
@@ -91,13 +107,15 @@ def entities(text: Column) -> Column:
     text and the (term, start, end) near each."""
     parts = []
     for rank, kind in enumerate(KINDS):
-        found = _located("t", PATTERNS[kind], kind, _FIELDS)
-        near = [f"transform({_located(f'x.{side}', TERM, f'{kind}_{side}', chr(39) + 'term' + chr(39) + ', lower(m)')}, y -> named_struct('term', y.term, 'start', y.start + {base}, 'end', y.end + {base}))"
-                for side, base in (("left", "x.start - length(x.left)"), ("right", "x.end"))]
+        near = []
+        for side, base in (("left", "x.start - length(n)"), ("right", "x.end")):
+            term = f"named_struct('term', lower(x.value), 'start', x.start, 'end', x.end)"
+            terms = _located("n", TERM, f"{kind}_{side}", "true", term)
+            moved = f"transform({terms}, y -> named_struct('term', y.term, 'start', y.start + {base}, 'end', y.end + {base}))"
+            near.append(_let("n", _near(side, kind), moved))
         row = (f"named_struct('start', x.start, 'rank', {rank}, 'end', x.end, 'kind', '{kind}',"
                f" 'entity', xxhash64('{kind}', {_NORMAL[kind]}), 'terms', concat({near[0]}, {near[1]}))")
-        kept = f"transform(filter({found}, x -> {_VALID[kind]}), x -> {row})"
-        parts.append(f"if({_NEEDS[kind]}, {kept}, null)")
+        parts.append(f"if({_NEEDS[kind]}, {_located('t', PATTERNS[kind], kind, _VALID[kind], row)}, null)")
     lists = ", ".join(f"coalesce({p}, array())" for p in parts)
     rows = F.expr(f"transform(array(coalesce(`_text`, '')), t -> array_sort(concat({lists})))[0]")
     return rows

@@ -90,3 +90,27 @@ def test_empty_table_and_native_plan(spark):
     assert S.spans(docs(spark, [])).count() == 0
     plan = S.spans(docs(spark, people(3)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_numbers_and_addresses_do_not_end_the_context(spark):
+    """Terms are found across years, house numbers and other addresses, up to
+    CONTEXT characters away, against plain slices of the text."""
+    card = "4111 1111 1111 1111"
+    texts = [f"{'abc'[i]}: Quillon Brask 2021, 17 Elm Road 4, card {card} and 12 34 56 mail x{i}@y.org Vermeil {'z' * 200} Faraway" for i in range(3)]
+    rows = [(i, t, "s") for i, t in enumerate(texts)] + [(10 + i, "other words about the 17 plans of 2021", "s") for i in range(60)]
+    rows += [(200, "12 " * 300 + card + " 34" * 300 + " tail", "s"), (201, "1" * 500 + "x " + card + " y" + "2" * 500, "s")]
+    found = {r.doc_id: r.found for r in S.base_spans(docs(spark, rows)).collect()}
+    pattern = re.compile(r"(?<![^\W_@._%+-])[^\W\d_]{3,}")
+    for i, text, _ in rows:
+        for x in found[i]:
+            left, right = text[max(0, x.start - S.CONTEXT):x.start], text[x.end:x.end + S.CONTEXT]
+            left = re.sub(r"^\S+", "", left) if x.start > S.CONTEXT else left
+            right = re.sub(r"\S+$", "", right) if len(text) - x.end > S.CONTEXT else right
+            spans = {(y.start, y.end) for y in x.terms}
+            assert all(text[y.start:y.end].lower() == y.term for y in x.terms)
+            want = {(m.start() + b, m.end() + b) for part, b in ((left, x.start - len(left)), (right, x.end)) for m in pattern.finditer(part)}
+            assert spans <= want and {s for s in want if text[s[0]:s[1]] in ("Quillon", "Brask", "Elm", "Road", "Vermeil", "and", "card")} <= spans
+    got = {r.doc_id: r for r in S.spans(docs(spark, rows)).collect()}
+    for i in range(3):
+        terms = {texts[i][s.start:s.end] for s in got[i].spans if s.kind == "term"}
+        assert {"Quillon", "Brask", "Vermeil"} <= terms and "Faraway" not in terms
