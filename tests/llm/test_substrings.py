@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import xxhash
 from data import corpus, docs, words
 
@@ -47,27 +48,40 @@ def test_insertion_moves_few_chunks():
     assert len(b - a) <= 6
 
 
-def plain_repeats(rows, min_words):
-    """doc id → repeated runs, by the definition over documents of one id."""
-    of, first = {}, {}
-    for i, t, _ in rows:
-        key = i if i is not None else (1 << 62) | (xxhash.xxh64_intdigest((t or "").encode(), 42) & ((1 << 62) - 1))
+def plain_rid(i, t):
+    h = 42
+    for part in (None if i is None else i.to_bytes(8, "little", signed=True), None if t is None else t.encode()):
+        h = h if part is None else xxhash.xxh64_intdigest(part, h)
+    return h - (1 << 64) * (h >> 63)
+
+
+def plain_occurrences(rows):
+    """chunk → its occurrences (key, rid, start byte) over different rows."""
+    of = {}
+    for i, t in {(i, t) for i, t, _ in rows}:
         data = (t or "").encode()
-        of[(key, t)] = (i, [(data[s:e], s, e) for s, e in plain_chunks(data)])
-        for c, *_ in of[(key, t)][1]:
-            first.setdefault(c, set()).add(key)
-    out = set()
-    for (key, t), (i, chunks) in of.items():
+        key = i if i is not None else (1 << 62) | (xxhash.xxh64_intdigest(data, 42) & ((1 << 62) - 1))
+        for s, e in plain_chunks(data):
+            of.setdefault(data[s:e], []).append((key, plain_rid(i, t), s))
+    return of
+
+
+def plain_repeats(rows, min_words):
+    """Repeated runs by the definition: (id, start, end, words, whole of it stays)."""
+    of, out = plain_occurrences(rows), set()
+    first = {c: min(x) for c, x in of.items()}
+    for i, t in {(i, t) for i, t, _ in rows}:
         data, run = (t or "").encode(), []
-        for c in [*chunks, None]:
-            if c and len(first[c[0]]) > 1:
+        for c in [*plain_chunks(data), None]:
+            if c and len(of[data[c[0]:c[1]]]) > 1:
                 run.append(c)
                 continue
             if run:
-                a, b = run[0][1], run[-1][2]
+                a, b = run[0][0], run[-1][1]
                 n = sum(1 for p in range(a, b) if not data[p:p + 1].isspace() and (p == 0 or data[p - 1:p].isspace()))
                 if n >= min_words:
-                    out.add((i, len(data[:a].decode()), len(data[:b].decode()), n, min(min(first[x[0]]) for x in run) == key))
+                    stays = all(first[data[s:e]][1:] == (plain_rid(i, t), s) for s, e in run)
+                    out.add((i, len(data[:a].decode()), len(data[:b].decode()), n, stays))
             run = []
     return out
 
@@ -80,10 +94,14 @@ def test_against_brute_force(spark):
         rows.append((500 + i, "\n".join([" ".join(words(rng, rng.randrange(80), 3000)), passages[i % 5] + " é😀", " ".join(words(rng, 30, 3000))]), "s"))
     for i in range(40):
         rows.append((600 + i, " ".join(words(rng, 200, 100_000)), "s"))
+    for i in range(10):  # inside one document, and in rows of one id
+        rows.append((700 + i, "\n".join([" ".join(words(rng, 40, 100_000)), passages[0]] * 3), "s"))
+        rows.append((800, "\n".join([f"row {i}", " ".join(words(rng, 30, 100_000)), passages[i % 2]]), "s"))
+    rows += rows[-7:]
     got = {(r.doc_id, r.start, r.end, r.words, r.kept) for r in B.repeated(docs(spark, rows)).collect()}
     assert got == plain_repeats(rows, B.MIN_WORDS)
     ids = {g[0] for g in got}
-    assert set(range(500, 540)) <= ids and not ids & set(range(600, 640))
+    assert set(range(500, 540)) | set(range(700, 710)) | {800} <= ids and not ids & set(range(600, 640))
 
 
 def test_shared_short_line_is_no_passage(spark):
@@ -116,3 +134,39 @@ def test_every_chunk_is_kept_in_one_document(spark):
                     kept.setdefault(data[s:e], set()).add(r.doc_id)
     assert {2, 3} <= set().union(*seen.values())
     assert all(kept.get(c) == {min(i for i in texts if c in [texts[i].encode()[s:e] for s, e in plain_chunks(texts[i].encode())])} for c in seen)
+
+
+def test_repeats_inside_one_document(spark):
+    passage = " ".join(words(random.Random(7), 80, 100_000)) + "\n"
+    got = B.parts(docs(spark, [(1, passage * 5, "s"), (2, " ".join(words(random.Random(8), 200, 100_000)), "s")])).collect()
+    kept = sorted((r.start, r.end) for r in got if r.kept)
+    assert {r.doc_id for r in got} == {1} and {r.first_doc for r in got} == {1}
+    assert kept[0][0] < len(passage) and sum(b - a for a, b in kept) <= len(passage) + 2 * B.HIGH
+    assert sum(r.words for r in got if not r.kept) >= 4 * 80 - 20
+
+
+def test_recurring_digests_are_told_and_dealt():
+    rng, told, seen, home = random.Random(9), np.empty(0, np.int64), {}, {}
+    for _ in range(20):
+        digest = np.array([rng.randrange(50) for _ in range(30)] + [7] * 100, np.int64)
+        mark, told = B._known(digest, told)
+        for d, m in zip(digest.tolist(), mark.tolist()):
+            seen[d] = seen.get(d, 0) + 1
+            if m != B._KNOWN:
+                home.setdefault(d, []).append(m)
+    assert home[7] == [B._TELLS]  # one row of it in its partition
+    for d, n in seen.items():
+        assert n == 1 or B._TELLS in home[d] or len(home[d]) == n
+
+
+def test_hot_digest_fills_no_task(spark):
+    rng = random.Random(10)
+    line = " ".join(words(rng, 60, 100_000)) + "\n"
+    rows = [(i, line + " ".join(words(rng, 20, 100_000)), "s") for i in range(3000)]
+    df = docs(spark, rows).repartition(6)
+    marks = {r.known: r["count"] for r in B.chunked(df).groupBy("known").count().collect()}
+    assert marks[B._TELLS] < marks[B._KNOWN] / 20
+    got = B.parts(df).collect()
+    assert len({r.doc_id for r in got}) == 3000
+    # a chunk across the line's end may recur in a few documents and stay in the first of them
+    assert {r.doc_id for r in got if r.kept and r.chunks > 3} == {0}
