@@ -8,6 +8,9 @@ included, the first line stays, by document id and line number.
 1. Each text is cut into lines where it is read; each line gets a digest and a
    MinHash signature of 40 values, banded by 4: lines of similarity 0.8 share
    one of the 10 bands with probability 0.995, more similar ones nearly always.
+   A reading task signs a line once and remembers the lines it has signed, so a
+   line of a third of all documents is signed, dealt by band and sent with its
+   text about once a task, not once a document.
 2. Bands that hold two different lines are found with partial minima and
    maxima, so a line in a third of all documents weighs nothing.  Their lines
    are candidates; bands with the same lines count once.
@@ -31,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, partitions, prepare, read
+from .common import by_bytes, durable, partitions, prepare, read
 from .components import components, forest
 
 SHINGLE = 7
@@ -45,6 +48,8 @@ _MULTIPLY = _rng.integers(0, 1 << 31, SHINGLE, dtype=np.uint32) * np.uint32(2) +
 _A = _rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
 _KEYS = [f"k{i}" for i in range(BANDS)]
+#: digests of lines that a reading task remembers; forgotten ones are signed again
+_REMEMBERED = 1 << 16
 
 
 def shingles(line: str) -> set[str]:
@@ -92,27 +97,73 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _digest(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode(), 42)
+
+
+def _is_line(line: str) -> bool:
+    return bool(line) and not line.isspace()
+
+
+class _Met:
+    """The lines that a task has met of late."""
+
+    def __init__(self):
+        self.digests = set()
+
+    def new(self, digest: int) -> bool:
+        if digest in self.digests:
+            return False
+        if len(self.digests) >= _REMEMBERED:
+            self.digests.clear()
+        self.digests.add(digest)
+        return True
+
+
 def _cut(batches):
-    for batch in batches:
-        ids, marks, numbers, digests, texts = [], [], [], [], []
+    met = _Met()
+    for batch in (part for whole in batches for part in by_bytes(whole, "text")):
+        ids, marks, numbers, digests, fresh, texts = [], [], [], [], [], []
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            mark = xxhash.xxh64_intdigest((text or "").encode(), 42) - (1 << 63)
+            mark = _digest(text or "") - (1 << 63)
             for n, line in enumerate((text or "").split("\n")):
-                if line and not line.isspace():
+                if _is_line(line):
                     ids.append(i)
                     marks.append(mark)
                     numbers.append(n)
-                    texts.append(line)
-        digests = np.array([xxhash.xxh64_intdigest(t.encode(), 42) for t in texts], np.uint64).view(np.int64)
-        keys = bands(signatures(texts)) if texts else np.empty((0, BANDS), np.int64)
+                    digests.append(_digest(line))
+                    fresh.append(met.new(digests[-1]))
+                    if fresh[-1]:
+                        texts.append(line)
+        fresh = np.array(fresh, bool)
+        keys = np.zeros((len(fresh), BANDS), np.int64)
+        if texts:
+            keys[fresh] = bands(signatures(texts))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(numbers, pa.int32()), pa.array(digests),
-             *(pa.array(np.ascontiguousarray(keys[:, b])) for b in range(BANDS))], ["doc_id", "mark", "n", "line", *_KEYS])
+            [pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(numbers, pa.int32()),
+             pa.array(np.array(digests, np.uint64).view(np.int64)),
+             *(pa.array(np.ascontiguousarray(keys[:, b]), mask=~fresh) for b in range(BANDS))],
+            ["doc_id", "mark", "n", "line", *_KEYS])
+
+
+def _texts(batches):
+    met = _Met()
+    for batch in (part for whole in batches for part in by_bytes(whole, "text")):
+        digests, texts = [], []
+        for text in batch.column("text").to_pylist():
+            for line in (text or "").split("\n"):
+                if _is_line(line):
+                    digest = _digest(line)
+                    if met.new(digest):
+                        digests.append(digest)
+                        texts.append(line)
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(texts, pa.string())], ["line", "text"])
 
 
 def cut(docs: DataFrame) -> DataFrame:
     """One row per line with a visible character: doc_id, mark (the text's
-    hash), n (line number from 0), line (digest) and its band keys."""
+    hash), n (line number from 0), line (digest) and its band keys, which are
+    null where the task that cut the line has met it before."""
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         _cut, "doc_id long, mark long, n int, line long, " + ", ".join(f"{k} long" for k in _KEYS))
 
@@ -179,7 +230,7 @@ def _links(out):
 def links(docs: DataFrame, table: DataFrame, similarity: float = SIMILARITY, tile: int = TILE) -> DataFrame:
     """(u, v) digests of near copies, as forests of the tiles."""
     spark = docs.sparkSession
-    rows = table.select(F.explode(F.array(*_KEYS)).alias("key"), "line")
+    rows = table.where(F.col(_KEYS[0]).isNotNull()).select(F.explode(F.array(*_KEYS)).alias("key"), "line")
     shared = durable(rows.groupBy("key").agg(F.min("line").alias("a"), F.max("line").alias("b")).where("a < b").select("key"))
     members = durable(rows.join(shared.hint("shuffle_hash"), "key").distinct())
     sets = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("line")).alias("x"),
@@ -187,7 +238,7 @@ def links(docs: DataFrame, table: DataFrame, similarity: float = SIMILARITY, til
     once = durable(sets.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key", "m"))
     members = members.join(once, "key")
     wanted = durable(members.select("line").distinct())
-    texts = (docs.select(F.explode(F.split("text", "\n")).alias("text")).withColumn("line", F.xxhash64("text"))
+    texts = (docs.select("text").mapInArrow(_texts, "line long, text string")
              .join(wanted.hint("shuffle_hash"), "line").groupBy("line").agg(F.min("text").alias("text")))
     texts = durable(texts)
     dealt = (members.withColumn("slots", F.ceil(F.col("m") / tile).cast("int"))

@@ -102,3 +102,22 @@ def test_deduplicated_texts(spark):
     got = {r.doc_id: r.text for r in L.deduplicate(docs(spark, rows)).collect()}
     assert got == {1: rows[0][1], 2: "own line of two\n ", 3: None, 4: "", None: "last"}
     assert L.classes(docs(spark, [])).count() == 0 and L.deduplicate(docs(spark, [])).count() == 0
+
+
+def test_shared_line_is_signed_once_a_task(spark):
+    rng = random.Random(12)
+    shared = " ".join(words(rng, 12, 100_000))
+    rows = [(i, "\n".join([" ".join(words(rng, 8, 100_000)), shared if i % 2 else shared + "!"]), "s") for i in range(2000)]
+    df = docs(spark, rows).repartition(5)
+    L.prepare(spark)
+    table = L.cut(df)
+    assert table.count() == 4000 and table.where("k0 is not null").count() <= 2000 + 2 * 5
+    got = L.classes(df).where("line_no = 1")
+    assert got.count() == 2000 and got.select("line_class").distinct().count() == 1
+    assert [(r.doc_id, r.line_no) for r in got.where("kept").collect()] == [(0, 1)]
+
+
+def test_forgotten_lines_are_signed_again():
+    met = L._Met()
+    keep = L._REMEMBERED
+    assert all(met.new(i) for i in range(keep)) and not met.new(3) and met.new(keep) and met.new(3)
