@@ -8,9 +8,9 @@ included, the first line stays, by document id and line number.
 1. Each text is cut into lines where it is read; each line gets a digest and a
    MinHash signature of 40 values, banded by 4: lines of similarity 0.8 share
    one of the 10 bands with probability 0.995, more similar ones nearly always.
-   A reading task signs a line once and remembers the lines it has signed, so a
-   line of a third of all documents is signed, dealt by band and sent with its
-   text about once a task, not once a document.
+   A reading task signs a line once a batch and remembers those that recur, so
+   a line of a third of all documents is signed, dealt by band and sent with
+   its text about once a task, not once a document.
 2. Bands that hold two different lines are found with partial minima and
    maxima, so a line in a third of all documents weighs nothing.  Their lines
    are candidates; bands with the same lines count once.
@@ -43,13 +43,14 @@ BANDS, ROWS = 10, 4
 TILE = 512
 _NO_KEY = 1 << 62
 _WIDTH = 4096
+_BLOCK = 1 << 15
 _rng = np.random.default_rng(4)
 _MULTIPLY = _rng.integers(0, 1 << 31, SHINGLE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _A = _rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
 _KEYS = [f"k{i}" for i in range(BANDS)]
-#: digests of lines that a reading task remembers; forgotten ones are signed again
-_REMEMBERED = 1 << 16
+#: recurring lines that a reading task remembers; forgotten ones are signed again
+_REMEMBERED = 1 << 13
 
 
 def shingles(line: str) -> set[str]:
@@ -79,10 +80,18 @@ def signatures(lines: list[str]) -> np.ndarray:
         h[start[i]] = xxhash.xxh32_intdigest(lines[i].encode("utf-8", "surrogatepass"), 4)
     first = np.cumsum(count) - count
     h = h[np.arange(int(count.sum())) + np.repeat(start - first, count)]
-    out = np.empty((len(lines), BANDS * ROWS), np.uint32)
-    for k in range(BANDS * ROWS):
-        out[:, k] = np.minimum.reduceat(h * _A[k] + _B[k], first)
-    return out
+    out = np.empty((BANDS * ROWS, len(lines)), np.uint32)
+    low, ends = 0, np.append(first[1:], len(h))
+    while low < len(lines):  # as many lines at once as a core's cache holds
+        high = max(low + 1, int(np.searchsorted(ends, first[low] + _BLOCK, side="right")))
+        part, at = h[first[low]:ends[high - 1]], first[low:high] - first[low]
+        room = np.empty_like(part)
+        for k in range(BANDS * ROWS):
+            np.multiply(part, _A[k], out=room)
+            room += _B[k]
+            np.minimum.reduceat(room, at, out=out[k, low:high])
+        low = high
+    return out.T
 
 
 def bands(signature: np.ndarray) -> np.ndarray:
@@ -97,67 +106,54 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _digest(text: str) -> int:
-    return xxhash.xxh64_intdigest(text.encode(), 42)
+def _lines(text) -> list[tuple[int, str]]:
+    """(number, line) of the lines with a visible character."""
+    return [(n, x) for n, x in enumerate((text or "").split("\n")) if x and not x.isspace()]
 
 
-def _is_line(line: str) -> bool:
-    return bool(line) and not line.isspace()
+def _digests(lines: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(x, 42) for x in lines], np.uint64).view(np.int64)
 
 
-class _Met:
-    """The lines that a task has met of late."""
-
-    def __init__(self):
-        self.digests = set()
-
-    def new(self, digest: int) -> bool:
-        if digest in self.digests:
-            return False
-        if len(self.digests) >= _REMEMBERED:
-            self.digests.clear()
-        self.digests.add(digest)
-        return True
+def first_met(digests: np.ndarray, told: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the lines of a batch that were not met before, and the
+    recurring lines told from now on."""
+    values, first, count = np.unique(digests, return_index=True, return_counts=True)
+    new = ~np.isin(values, told)
+    if len(told) > _REMEMBERED:
+        told = told[:0]
+    return np.sort(first[new]), np.concatenate([told, values[new & (count > 1)]])
 
 
 def _cut(batches):
-    met = _Met()
+    told = np.empty(0, np.int64)
     for batch in (part for whole in batches for part in by_bytes(whole, "text")):
-        ids, marks, numbers, digests, fresh, texts = [], [], [], [], [], []
+        ids, marks, numbers, texts = [], [], [], []
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            mark = _digest(text or "") - (1 << 63)
-            for n, line in enumerate((text or "").split("\n")):
-                if _is_line(line):
-                    ids.append(i)
-                    marks.append(mark)
-                    numbers.append(n)
-                    digests.append(_digest(line))
-                    fresh.append(met.new(digests[-1]))
-                    if fresh[-1]:
-                        texts.append(line)
-        fresh = np.array(fresh, bool)
-        keys = np.zeros((len(fresh), BANDS), np.int64)
-        if texts:
-            keys[fresh] = bands(signatures(texts))
+            found = _lines(text)
+            ids.extend([i] * len(found))
+            marks.extend([xxhash.xxh64_intdigest(text or "", 42) - (1 << 63)] * len(found))
+            numbers.extend([n for n, _ in found])
+            texts.extend([x for _, x in found])
+        digests = _digests(texts)
+        fresh, told = first_met(digests, told)
+        keys, known = np.zeros((len(texts), BANDS), np.int64), np.ones(len(texts), bool)
+        known[fresh] = False
+        if len(fresh):
+            keys[fresh] = bands(signatures([texts[k] for k in fresh.tolist()]))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(numbers, pa.int32()),
-             pa.array(np.array(digests, np.uint64).view(np.int64)),
-             *(pa.array(np.ascontiguousarray(keys[:, b]), mask=~fresh) for b in range(BANDS))],
+            [pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(numbers, pa.int32()), pa.array(digests),
+             *(pa.array(np.ascontiguousarray(keys[:, b]), mask=known) for b in range(BANDS))],
             ["doc_id", "mark", "n", "line", *_KEYS])
 
 
 def _texts(batches):
-    met = _Met()
+    told = np.empty(0, np.int64)
     for batch in (part for whole in batches for part in by_bytes(whole, "text")):
-        digests, texts = [], []
-        for text in batch.column("text").to_pylist():
-            for line in (text or "").split("\n"):
-                if _is_line(line):
-                    digest = _digest(line)
-                    if met.new(digest):
-                        digests.append(digest)
-                        texts.append(line)
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(texts, pa.string())], ["line", "text"])
+        texts = [x for text in batch.column("text").to_pylist() for _, x in _lines(text)]
+        digests = _digests(texts)
+        fresh, told = first_met(digests, told)
+        yield pa.RecordBatch.from_arrays([pa.array(digests[fresh]), pa.array([texts[k] for k in fresh.tolist()], pa.string())], ["line", "text"])
 
 
 def cut(docs: DataFrame) -> DataFrame:

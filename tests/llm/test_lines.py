@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from data import corpus, docs, words
 
@@ -117,7 +118,14 @@ def test_shared_line_is_signed_once_a_task(spark):
     assert [(r.doc_id, r.line_no) for r in got.where("kept").collect()] == [(0, 1)]
 
 
-def test_forgotten_lines_are_signed_again():
-    met = L._Met()
-    keep = L._REMEMBERED
-    assert all(met.new(i) for i in range(keep)) and not met.new(3) and met.new(keep) and met.new(3)
+def test_every_line_is_met_first_once_until_forgotten():
+    rng, told, met = random.Random(13), np.empty(0, np.int64), []
+    for _ in range(50):
+        batch = np.array([rng.randrange(3000) for _ in range(400)] + [-5] * 9, np.int64)
+        at, told = L.first_met(batch, told)
+        assert len(set(batch[at].tolist())) == len(at)
+        met.append(set(batch[at].tolist()))
+    assert sum(-5 in x for x in met) == 1 and len(set().union(*met)) > 2900
+    at, told = L.first_met(np.arange(L._REMEMBERED + 1).repeat(2), told)
+    again, told = L.first_met(np.array([-5, -5]), told)
+    assert len(again) == 0 and len(L.first_met(np.array([-5]), L.first_met(np.array([1]), told)[1])[0]) == 1
