@@ -1,6 +1,8 @@
+import math
 import zlib
 from collections import Counter
 
+import xxhash
 from data import corpus, docs
 
 from profila.llm import sharding
@@ -20,6 +22,26 @@ def test_law_slots_and_digests(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def plain_shard(i, weights):
+    """The shard of the smallest draw, each computed by itself."""
+    draws = []
+    for shard, weight in enumerate(weights):
+        if weight > 0:
+            h = 42 if i is None else xxhash.xxh64_intdigest(i.to_bytes(8, "little", signed=True), 42)
+            u = ((xxhash.xxh64_intdigest(f"shard {shard}".encode(), h) >> 11) + 0.5) / 2 ** 53
+            draws.append((-math.log(u) / weight, shard))
+    return min(draws)[1]
+
+
+def test_shards_are_the_smallest_draws(spark):
+    rows = [(i, "x", "s") for i in [*range(-300, 900), 2 ** 62 + 5, -2 ** 63, None]]
+    for weights in ((1.0,) * 16, (1, 2, 0, 0.5)):
+        got = sharding.assign(docs(spark, rows), weights=weights, added=1.5).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert (r.shard, r.grown_shard) == (plain_shard(r.doc_id, weights), plain_shard(r.doc_id, [*weights, 1.5]))
+
+
 def test_weights_and_moves(spark):
     df = docs(spark, [(i, "x", "s") for i in range(6000)], clash=False)
     got = sharding.assign(df, weights=(1, 2, 0, 1), added=1).collect()
