@@ -1,6 +1,9 @@
+import math
 import random
 import zlib
 
+import numpy as np
+import pandas as pd
 from data import docs
 
 from profila.llm import toxicity
@@ -90,3 +93,44 @@ def test_clean_text_of_any_length_stays_clean(spark):
     assert score_text("w1 w2.\n" * 100_000 + "you vile w3.", model)[0] >= 0.7
     some = Model({"bad": 0, "even": 1, "good": 2}, [10.0, 0.1, -2.0], -9.0, 0.1, toxicity.LEAST)
     assert score_text("even so.\ngood.\nplain.\n" * 100_000, some)[0] == score_text("", some)[0]
+
+
+def plain_loss(theta, bags, prior, l2):
+    """Negative log likelihood of a leaky noisy-or, document by document."""
+    w, bias, leak = theta[:-2], theta[-2], math.exp(theta[-1])
+    loss = l2 / 2 * float(((w - prior) ** 2).sum())
+    for y, sentences in bags:
+        clean = math.exp(-leak)
+        for ids in sentences:
+            clean *= 1 - 1 / (1 + math.exp(-(bias + sum(w[i] for i in ids))))
+        loss -= math.log(1 - clean) if y else math.log(clean)
+    return loss
+
+
+def slope(theta, *rest, h=1e-5):
+    out = []
+    for k in range(len(theta)):
+        step = np.zeros(len(theta))
+        step[k] = h
+        out.append((plain_loss(theta + step, *rest) - plain_loss(theta - step, *rest)) / (2 * h))
+    return np.array(out)
+
+
+def test_steps_follow_the_plain_likelihood():
+    rng = np.random.default_rng(5)
+    n = 12
+    bags = [(int(rng.random() < 0.4), [sorted(set(rng.integers(0, n, rng.integers(1, 4)).tolist())) for _ in range(rng.integers(0, 6))])
+            for _ in range(80)]
+    pdf = pd.DataFrame({"y": [y for y, _ in bags], "ids": [s for _, s in bags]})
+    prior = rng.uniform(0, 8, n)
+    for _ in range(5):  # a first step goes by its rate against the slope's sign
+        start = np.append(rng.uniform(0, 10, n), [-10.0, math.log(rng.uniform(0.05, 1))])
+        new, by = toxicity._steps(pdf, start, prior, 1, 0.01, 1.0)
+        want = slope(start, bags, prior, 1.0)
+        clear = np.abs(want) > 1e-3
+        assert clear.sum() > n / 2 and (np.sign(start - new) == np.sign(want))[clear].all()
+        assert by[:n].tolist() == [sum(i in s for _, d in bags for s in d) for i in range(n)]
+    new, _ = toxicity._steps(pdf, start, prior, 6000, 0.02, 1.0)
+    left = slope(new, bags, prior, 1.0)
+    assert plain_loss(new, bags, prior, 1.0) < plain_loss(start, bags, prior, 1.0)
+    assert np.abs(left[:-2]).max() < 0.05 and abs(left[-1]) < 0.05  # the bias stays at its bound or below
