@@ -125,3 +125,21 @@ def test_predicted_gender_only_where_unlabelled(spark):
     table = dev(spark, [(1, 1, 1, 0, 20, 1), (2, 1, 1, None, None, 0), (3, 1, 1, None, None, 0)])
     got = chain_predicted(table, spark.createDataFrame([(1, 1), (2, 1)], "device_id long, p int")).collect()
     assert {r.device_id: r.gender for r in got} == {1: 0, 2: 1, 3: None}
+
+
+def test_approximate_ids_hold_few_sketches_a_task(spark, monkeypatch):
+    """Rows of ordinary devices are dealt by device before any sketch is made, those of
+    devices with a large share of the log merge map-side; the counts stay those of one
+    plain aggregate."""
+    monkeypatch.setattr(EV, "HEAVY_DEVICES", 4)
+    rows = [(i, None if i % 9 == 0 else 7 if i % 2 else i % 40, 1, 1, 1, 1, "a") for i in range(2_000)] + [(None, 5, 1, 1, 1, 1, "a")] * 3
+    log = ev(spark, rows)
+    sizes = log.where("device_id is not null").groupBy("device_id").agg(F.count(F.lit(1)).alias("n"))
+    found = EV.approx_distinct_ids(log, sizes, 0.01)
+    plain = log.where("device_id is not null").groupBy("device_id").agg(F.approx_count_distinct("event_id", 0.01).alias("n"))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+    light, heavy = found._jdf.queryExecution().optimizedPlan().toString().split("Aggregate [device_id")[1:]
+    assert "LeftAnti" in light and "RepartitionByExpression [device_id" in light
+    assert "LeftSemi" in heavy and "RepartitionByExpression" not in heavy
+    none = EV.approx_distinct_ids(ev(spark, []), sizes.limit(0), 0.01)
+    assert none.count() == 0
