@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import word_tokens
 from ..session import durable
+from .joins import join_by_frequency
 from .sequence import global_row_number, group_positions
 
 
@@ -48,8 +49,8 @@ def tfidf(tf: DataFrame, group: str, n_docs=None, written: bool = False) -> Data
     # both aggregated sides are written before they are joined: a side that
     # arrives grouped on the join key keeps AQE from splitting a hot term or
     # a hot document
-    idf = durable(df_.select("term", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf")))
-    raw = tf.join(idf, "term", "inner").withColumn("_w", F.col("tf") * F.col("idf"))
+    idf = durable(df_.select("term", "df", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf")))
+    raw = join_by_frequency(tf, idf, "term", "df", 80).withColumn("_w", F.col("tf") * F.col("idf"))
     norm = durable(raw.groupBy(group).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm")))
     return (raw.join(norm, group, "inner")
             .select(F.col(group), "term", "tf", (F.col("_w") / F.col("_norm")).alias("tfidf")))
