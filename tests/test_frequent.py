@@ -6,8 +6,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from profila.operators import naive_bayes as NB
 from profila.operators import text as TX
 from profila.operators.joins import join_by_frequency
+from profila.operators.vectors import block_matrix
 from profila.session import durable
 
 
@@ -59,3 +61,20 @@ def test_no_key_is_lost_or_met_twice(spark, threshold):
     for row_bytes in (1, 10, 25, 50, 100):
         got = sorted(tuple(r) for r in join_by_frequency(cells, table, "key", "n", row_bytes).select("i", "key", "v").collect())
         assert got == sorted((r.i, r.key, 2 * r.key) for r in cells.collect())
+
+
+@pytest.mark.parametrize("kind", ["multinomial", "bernoulli"])
+@pytest.mark.parametrize("bytes_", [-1, 300, 1 << 20])
+def test_blocks_side_by_side_score_like_stacked_ones(spark, threshold, kind, bytes_):
+    threshold(bytes_)
+    pdf = documents()
+    pdf["half"] = pdf.tf / 2.0
+    pdf.loc[pdf.term == "of", "half"] = 0.0
+    cells = spark.createDataFrame(pdf)
+    rows = spark.createDataFrame([(d, d % 2 if d < 50 else None, d // 2 % 5 if d < 50 else None) for d in range(60)],
+                                 "device_id long, label int, fold int")
+    width = 2 * pdf.term.nunique()
+    stacked = NB.oof_naive_bayes(block_matrix([("c", cells, "tf"), ("h", cells, "half")]), rows, width, kind)
+    beside = NB.oof_naive_bayes(cells.withColumnRenamed("term", "col"), rows, width, kind, values=("tf", "half"))
+    got, want = ({r.device_id: r.nb_clf_1 for r in t.collect()} for t in (beside, stacked))
+    assert len(want) == 60 and got == pytest.approx(want, abs=2e-6)
