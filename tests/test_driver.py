@@ -121,3 +121,22 @@ def test_driver_gives_memory_back_at_most_every_so_often(spark, monkeypatch):
     assert S.give_back(spark) and not S.give_back(spark)
     monkeypatch.setattr(S, "GIVE_BACK_S", 0)
     assert S.give_back(spark)
+
+
+def test_misplaced_rows_meet_the_means_where_they_lie(spark):
+    rng = np.random.default_rng(2)
+    x = rng.random((60, 9)) * (rng.random((60, 9)) < 0.4)
+    x[5] = 0.0
+    own = rng.integers(0, 4, 60)
+    cells = spark.createDataFrame([(int(i), f"c{j}", float(x[i, j])) for i, j in zip(*np.nonzero(x))], "device_id long, col string, value double")
+    found = spark.createDataFrame([(i, int(c), int(c) % 2) for i, c in enumerate(own)], "device_id long, a int, b int")
+    rows = CL.gathered_cells(cells, found)
+    for column, c in (("a", own), ("b", own % 2)):
+        means = np.stack([x[c == m].mean(axis=0) for m in range(c.max() + 1)])
+        d = ((x[:, None] - means) ** 2).sum(axis=2)
+        want = int((d[np.arange(60), c] > d.min(axis=1) + 1e-6).sum())
+        assert want and CL.misplaced(cells, found, column).first()[:] == (60, want)
+        out = CL.misplaced(cells, found, column, rows=rows)
+        assert out.first()[:] == (60, want)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Generate" not in plan  # no row for each cell and cluster
